@@ -14,7 +14,10 @@ Plan of a total sort (``sort_lines``)::
   more than its share. The salt is not a sort key: identical lines are
   interchangeable.
 * Keys are bound in a projection below the sort, so each row computes its
-  UTF-16 key once, not once per comparison.
+  keys once, not once per comparison.
+* A leading 64-bit key (``functions.prefix``) lets rows of frequent texts be
+  ordered by Spark's sort prefix alone instead of reading both rows on every
+  comparison; it is built from a small sample and never changes the order.
 * The output partitions are in key order: partition files written in name
   order concatenate to the total order.
 """
@@ -24,8 +27,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordo.functions.keys import NKEY, TKEY, bind_keys, bound_key_names, bound_order, key_columns_of_line
-from ordo.functions.lines import parse_number
+from ordo.functions.keys import (
+    NKEY, TKEY, TKEY2, bind_keys, bound_key_names, bound_order, key_columns_of_line,
+)
+from ordo.functions.lines import number_of_valid, parse_number, text_slice
+from ordo.functions.prefix import LeadPlan, lead_key, sample_plan
+
+LEAD = "_lead"
 
 SALT = "_salt"
 
@@ -58,10 +66,26 @@ def range_partition(
     return out.select("line")
 
 
-def sort_within(lines: DataFrame, order: str = "ordinal", keep_keys: bool = False) -> DataFrame:
-    """Sort each partition by (text key, number, line) with bound keys."""
-    out = bind_keys(lines, "line", order).sortWithinPartitions(*bound_order("line", order))
-    return out if keep_keys else out.drop(*bound_key_names(order))
+def lead_plan(lines: DataFrame, order: str = "ordinal") -> LeadPlan | None:
+    """Sample ``line`` for the frequent-text dictionary of the leading key."""
+    keys = key_columns_of_line("line", order)
+    plain = keys[1].isNull() if order == "ordinal" else F.lit(True)
+    valid = F.when(parse_number("line").isNotNull(), number_of_valid("line"))
+    return sample_plan(lines, keys[0], valid, plain)
+
+
+def sort_within(lines: DataFrame, order: str = "ordinal", keep_keys: bool = False,
+                plan: LeadPlan | None = None) -> DataFrame:
+    """Sort each partition by (lead, text keys, number, line) with bound keys."""
+    bound = bind_keys(lines, "line", order)
+    sort_cols = bound_order("line", order)
+    if plan is not None:
+        plain = F.col(TKEY2).isNull() if order == "ordinal" else F.lit(True)
+        bound = bound.withColumn(LEAD, lead_key(plan, F.col(TKEY), F.col(NKEY), plain))
+        sort_cols = [F.col(LEAD)] + sort_cols
+    out = bound.sortWithinPartitions(*sort_cols)
+    drop = bound_key_names(order) + ([LEAD] if plan is not None else [])
+    return out if keep_keys else out.drop(*drop)
 
 
 def sort_lines(
@@ -71,19 +95,22 @@ def sort_lines(
     partitions: int | None = None,
     salt: bool = True,
     validate: bool = True,
+    lead: bool = True,
 ) -> DataFrame:
     """O2: total sort. Returns ``line`` in range-partitioned, sorted partitions.
 
     ``validate`` drops lines that do not parse (P6); pass False when the input
-    is known to be valid (for example the output of ``parse_lines``)."""
+    is known to be valid (for example the output of ``parse_lines``).
+    ``lead`` samples a few thousand rows first (reading only the partitions
+    ``limit`` needs) to build the leading key; turn it off when ``df`` is
+    expensive to start computing (for example the output of a join)."""
     lines = _only_valid(df, line, validate)
-    return sort_within(range_partition(lines, order, partitions, salt), order)
+    plan = lead_plan(lines, order) if lead else None
+    return sort_within(range_partition(lines, order, partitions, salt), order, plan=plan)
 
 
 def sort_parsed(df: DataFrame, order: str = "ordinal", partitions: int | None = None) -> DataFrame:
     """O2 on parsed rows (``number, text, line``): the same plan, parsed columns out."""
-    from ordo.functions.lines import text_slice
-
     out = sort_lines(df, "line", order, partitions, validate=False)
     return out.select(
         F.substring_index("line", ".", 1).try_cast("bigint").alias("number"),
@@ -92,7 +119,8 @@ def sort_parsed(df: DataFrame, order: str = "ordinal", partitions: int | None =
     )
 
 
-def sorted_runs(df: DataFrame, line: str = "line", order: str = "ordinal", validate: bool = True) -> DataFrame:
+def sorted_runs(df: DataFrame, line: str = "line", order: str = "ordinal", validate: bool = True,
+                lead: bool = True) -> DataFrame:
     """O3: sorted runs of bounded size, no shuffle.
 
     A run is one input split: its size is bounded by
@@ -101,7 +129,8 @@ def sorted_runs(df: DataFrame, line: str = "line", order: str = "ordinal", valid
     lines = _only_valid(df, line, validate).select(
         F.spark_partition_id().alias("run_id"), "line"
     )
-    return sort_within(lines, order, keep_keys=False).select("run_id", "line")
+    plan = lead_plan(lines, order) if lead else None
+    return sort_within(lines, order, plan=plan).select("run_id", "line")
 
 
 def merge_runs(runs: DataFrame, line: str = "line", order: str = "ordinal",

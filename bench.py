@@ -51,6 +51,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "16g")
+        .config("spark.sql.files.openCostInBytes", str(256 * 1024))
         .config("spark.checkpoint.dir", os.path.join(work, "checkpoints"))
         .getOrCreate()
     )

@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 # The accepted shape of the number prefix (whitespace = TAB..CR
 # and space; trailing NULs tolerated) and the reject reasons, in check order.
 NUMBER_GUARD = r"\A[\t-\r ]*[+-]?[0-9]+[\t-\r ]*\x00*\z"
+# The same guard applied to the whole line, up to the first dot (the prefix
+# pattern contains no dot, so the dot it reaches is the first one).
+LINE_GUARD = r"\A[\t-\r ]*[+-]?[0-9]+[\t-\r ]*\x00*\."
 BLANK_PATTERN = r"(?U)\A\s+\z"
 REASON_EMPTY = "empty"
 REASON_BLANK = "blank"
@@ -50,13 +53,12 @@ def number_prefix(value: Column | str) -> Column:
 def parse_number(value: Column | str) -> Column:
     """Guarded int64 parse of the number prefix; null means "reject".
 
-    The regex guard rejects the control characters ``try_cast`` would
-    otherwise trim away; on short prefixes a compiled regex is cheaper than
-    any substring-based fast path (measured).
+    One anchored regex over the line checks the prefix shape (it also rejects
+    the control characters ``try_cast`` would otherwise trim away); the cast
+    then rejects overflow. Cheaper than slicing the prefix first (measured).
     """
     v = _col(value)
-    raw = F.substring_index(v, ".", 1)  # whole line when there is no dot
-    return F.when((delimiter_pos(v) > 0) & raw.rlike(NUMBER_GUARD), raw.try_cast("bigint"))
+    return F.when(v.rlike(LINE_GUARD), F.substring_index(v, ".", 1).try_cast("bigint"))
 
 
 def number_of_valid(line: Column | str) -> Column:

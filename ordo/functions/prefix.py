@@ -31,8 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_TEXTS = 64
-SAMPLE_ROWS = 20_000
-SAMPLE_FRACTION = 0.02
+SAMPLE_ROWS = 10_000
+SAMPLE_FRACTION = 0.1
 MIN_SHARE = 0.002  # a text must hold at least this share of the sample
 _Q_BITS = 47
 _SLOT_SHIFT = 48

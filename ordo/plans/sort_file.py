@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from contextlib import contextmanager
 
@@ -22,7 +23,32 @@ from ordo.operators.profile import input_stats
 from ordo.operators.sort import sort_lines, sorted_runs
 from ordo.plans.report import append_report, run_report
 from ordo.sources.generator import generate_sized
-from ordo.sources.text import read_lines, write_lines
+from ordo.sources.text import input_bytes, read_lines, write_lines
+
+# Input bytes per sorted output partition when the count is not given. A
+# sorted partition is held by one task (spilling as needed) and written as one
+# part file. Spark samples at most 10^6 keys for the
+# range bounds, so at 100 TB 1 GiB (about 100,000 partitions) still gives
+# each bound about 10 samples, and keeps the M x N shuffle block count sane.
+# Locally the count is floored at one partition per core.
+TARGET_PARTITION_BYTES = 1 << 30
+
+
+# Inputs below this size skip the sample for the leading sort key: there the
+# extra job costs more than the comparisons it saves.
+LEAD_MIN_BYTES = 64 << 20
+
+
+def _sizing(spark: SparkSession, inputs, target_bytes: int) -> tuple[int, bool]:
+    """(range partitions, use the leading key) for sorting ``inputs``:
+    input size / target, at least one partition per core of the session."""
+    size = input_bytes(spark, inputs)
+    by_size = math.ceil(size / max(1, target_bytes))
+    return max(1, by_size, spark.sparkContext.defaultParallelism), size >= LEAD_MIN_BYTES
+
+
+def sort_partitions(spark: SparkSession, inputs, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    return _sizing(spark, inputs, target_bytes)[0]
 
 
 @contextmanager
@@ -44,10 +70,15 @@ def _session_conf(spark: SparkSession, key: str, value: str | None):
 def sort_file(spark: SparkSession, inputs, output_dir: str, order: str = "ordinal",
               partitions: int | None = None, label: str = "sort", report_path: str | None = None,
               with_stats: bool = True, line_sep: str | None = None,
-              compression: str | None = None) -> DataFrame:
-    """Sort the valid lines of ``inputs`` into ``output_dir``; return the A2 report."""
+              compression: str | None = None,
+              target_partition_bytes: int = TARGET_PARTITION_BYTES) -> DataFrame:
+    """Sort the valid lines of ``inputs`` into ``output_dir``; return the A2 report.
+
+    ``partitions`` defaults to input size / ``target_partition_bytes`` (from
+    file-system metadata), so output partitions stay bounded at any scale."""
     t0 = time.perf_counter()
-    sorted_ = sort_lines(read_lines(spark, inputs), "value", order, partitions)
+    n, lead = _sizing(spark, inputs, target_partition_bytes)
+    sorted_ = sort_lines(read_lines(spark, inputs), "value", order, partitions or n, lead=lead)
     obs = Observation(f"rows_out_{label}")
     write_lines(sorted_.observe(obs, F.count(F.lit(1)).alias("rows_out")), output_dir,
                 line_sep=line_sep, compression=compression)
@@ -70,7 +101,8 @@ def split_and_sort(spark: SparkSession, inputs, runs_dir: str, max_run_bytes: in
     ``max_run_bytes`` of input each). Returns ``run_id, n`` per run."""
     value = None if max_run_bytes is None else str(int(max_run_bytes))
     with _session_conf(spark, "spark.sql.files.maxPartitionBytes", value):
-        runs = sorted_runs(read_lines(spark, inputs), "value", order)
+        lead = input_bytes(spark, inputs) >= LEAD_MIN_BYTES
+        runs = sorted_runs(read_lines(spark, inputs), "value", order, lead=lead)
         write_lines(runs, runs_dir)
     return spark.read.text(runs_dir).groupBy(
         F.col("_metadata.file_name").alias("run_id")
@@ -78,9 +110,12 @@ def split_and_sort(spark: SparkSession, inputs, runs_dir: str, max_run_bytes: in
 
 
 def merge_files(spark: SparkSession, run_paths, output_dir: str, order: str = "ordinal",
-                partitions: int | None = None) -> None:
+                partitions: int | None = None,
+                target_partition_bytes: int = TARGET_PARTITION_BYTES) -> None:
     """Phase 2: merge run files (sorted or not, any number) into ``output_dir``."""
-    write_lines(sort_lines(read_lines(spark, run_paths), "value", order, partitions), output_dir)
+    n, lead = _sizing(spark, run_paths, target_partition_bytes)
+    write_lines(sort_lines(read_lines(spark, run_paths), "value", order, partitions or n, lead=lead),
+                output_dir)
 
 
 def generate_file(spark: SparkSession, path: str, size_bytes: int, seed: int = 42,

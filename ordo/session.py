@@ -25,6 +25,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # small local inputs: split files across cores instead of 4 MB minimum
+        .config("spark.sql.files.openCostInBytes", str(256 * 1024))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -30,6 +30,20 @@ def _paths(paths: str | Iterable[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
+def input_bytes(spark: SparkSession, paths: str | Iterable[str]) -> int:
+    """Total bytes under the input paths (globs allowed), from file-system
+    metadata only: no data is read. Used to size the sort's partitions."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in _paths(paths):
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        for st in fs.globStatus(path) or []:
+            total += fs.getContentSummary(st.getPath()).getLength()
+    return int(total)
+
+
 def read_lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """``value string``, one row per line of every file."""
     return spark.read.text(_paths(paths))

@@ -30,8 +30,9 @@ from ordo.operators.parse import parse_lines, reject_summary
 from ordo.operators.position import position_in_files, with_position
 from ordo.operators.profile import count_conservation, run_profile
 from ordo.operators.sort import merge_runs, sort_lines, sort_within, sorted_runs, top_lines
-from ordo.operators.validate import bag_equal, check_sorted, format_check, sorted_summary
-from ordo.plans.sort_file import generate_file, sort_file
+from ordo.operators.validate import bag_equal, check_sorted, format_check, order_equal, sorted_summary
+from ordo.plans.report import report_summary
+from ordo.plans.sort_file import generate_file, merge_files, sort_file
 from ordo.session import scratch_path
 from ordo.sources.text import read_in_file_order, read_lines, read_runs, write_lines
 
@@ -206,6 +207,38 @@ def q_run_report(spark, sf_dir):
     return rep.select("label", "rows_in", "rows_out", "rows_rejected", "input_bytes")
 
 
+def q_report_summary(spark, sf_dir):
+    """Two sorts append their reports; the summary reads them back."""
+    src = scratch_path(spark, "ord-src")
+    write_lines(orders_lines(spark, sf_dir), src)
+    reports = scratch_path(spark, "reports")
+    for i in range(2):
+        sort_file(spark, src, scratch_path(spark, f"ord-sorted{i}"), label="orders", report_path=reports)
+    return report_summary(spark, reports).select("label", "runs", "rows_in", "rows_out", "rows_rejected")
+
+
+def q_order_equal(spark, sf_dir):
+    """V2: the merge of 40 runs equals the direct sort, position by position."""
+    direct = _positioned(sort_lines(lineitem_lines(spark, sf_dir)))
+    merged = q_merge_many_runs(spark, sf_dir)
+    return order_equal(merged, direct)
+
+
+def q_stream_merge(spark, sf_dir):
+    """Streaming phase 1 (files arriving -> sorted runs), then the batch merge."""
+    from ordo.streaming import stream_sorted_runs
+
+    inbox = scratch_path(spark, "inbox")
+    write_lines(part_lines(spark, sf_dir).unionByName(supplier_lines(spark, sf_dir)), inbox)
+    runs = scratch_path(spark, "stream-runs")
+    query = stream_sorted_runs(spark, inbox, runs, checkpoint=scratch_path(spark, "stream-ckpt"),
+                               max_files_per_trigger=2)
+    query.awaitTermination()
+    out = scratch_path(spark, "stream-merged")
+    merge_files(spark, runs, out)
+    return position_in_files(read_in_file_order(spark, out)).select("pos", F.col("value").alias("line"))
+
+
 def q_generate_lines(spark, sf_dir):
     """Generate as many bytes as the lineitem lines take."""
     target = lineitem_lines(spark, sf_dir).agg(
@@ -242,6 +275,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "format_check": q_format_check,
     "run_report": q_run_report,
     "generate_lines": q_generate_lines,
+    "report_summary": q_report_summary,
+    "order_equal": q_order_equal,
+    "stream_merge": q_stream_merge,
 }
 
 
@@ -335,4 +371,10 @@ ORACLE_SQL: dict[str, str] = {
                count(number) AS rows_out, count(*) - count(number) AS rows_rejected,
                sum(strlen(line) + 1) AS input_bytes
         FROM ({_sql_parsed(SQL_LINES['documents'])})""",
+    "report_summary": """
+        SELECT 'orders' AS label, CAST(2 AS BIGINT) AS runs, 2 * count(*) AS rows_in,
+               2 * count(*) AS rows_out, CAST(0 AS BIGINT) AS rows_rejected FROM orders""",
+    "order_equal": """
+        SELECT count(*) AS n_actual, count(*) AS n_expected, CAST(0 AS BIGINT) AS mismatches FROM lineitem""",
+    "stream_merge": _sql_sorted(f"{SQL_LINES['part']} UNION ALL {SQL_LINES['supplier']}"),
 }

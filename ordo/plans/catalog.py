@@ -203,7 +203,7 @@ def q_run_report(spark, sf_dir):
     """A1, A2 (+S8): sort a file and report counts and bytes."""
     src = scratch_path(spark, "doc-src")
     write_lines(document_lines(spark, sf_dir), src)
-    rep = sort_file(spark, src, scratch_path(spark, "doc-sorted"), label="documents")
+    rep = sort_file(spark, src, scratch_path(spark, "doc-sorted"), label="documents", with_stats=True)
     return rep.select("label", "rows_in", "rows_out", "rows_rejected", "input_bytes")
 
 
@@ -213,7 +213,8 @@ def q_report_summary(spark, sf_dir):
     write_lines(orders_lines(spark, sf_dir), src)
     reports = scratch_path(spark, "reports")
     for i in range(2):
-        sort_file(spark, src, scratch_path(spark, f"ord-sorted{i}"), label="orders", report_path=reports)
+        sort_file(spark, src, scratch_path(spark, f"ord-sorted{i}"), label="orders", report_path=reports,
+                  with_stats=True)
     return report_summary(spark, reports).select("label", "runs", "rows_in", "rows_out", "rows_rejected")
 
 

@@ -27,6 +27,14 @@ NUMBER_BOUND = 2147483647
 MEAN_LINE_BYTES = 26.48
 _NARROW_BLOCKS = 1024
 _FINAL_BLOCK_ROWS = 4096
+# Bytes of output per generating task when the partition count is not given.
+PARTITION_BYTES = 256 << 20
+
+
+def _partitions(spark: SparkSession, n_bytes: float, partitions: int | None) -> int:
+    if partitions:
+        return partitions
+    return max(spark.sparkContext.defaultParallelism, math.ceil(n_bytes / PARTITION_BYTES))
 
 
 def _line(id_col: Column, seed: int) -> Column:
@@ -50,7 +58,7 @@ def generate_lines(spark: SparkSession, n_lines: int, seed: int = 42, partitions
     ``blank_every=k`` ends every k-th line with an extra newline, so the
     written file holds one blank line per k lines (as the reference file has
     one per producer batch)."""
-    parts = partitions or spark.sparkContext.defaultParallelism
+    parts = _partitions(spark, n_lines * MEAN_LINE_BYTES, partitions)
     ids = spark.range(start, start + n_lines, 1, parts)
     line = _line(F.col("id"), seed)
     if blank_every:
@@ -64,7 +72,7 @@ def rows_for_size(spark: SparkSession, target_bytes: int, seed: int = 42,
     on disk (LF line ends). The file then overshoots by less than one line."""
     if target_bytes <= 0:
         return 0
-    parts = partitions or spark.sparkContext.defaultParallelism
+    parts = _partitions(spark, target_bytes, partitions)
     lo, need = 0, target_bytes
     span = int(math.ceil(target_bytes / MEAN_LINE_BYTES * 1.02)) + 1000
     while True:

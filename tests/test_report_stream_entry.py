@@ -12,7 +12,7 @@ def test_report_append_and_summary(spark, text_file, tmp_path):
     p = text_file(["2. b", "x", "1. a"])
     reports = str(tmp_path / "reports")
     for i in range(2):
-        sort_file(spark, p, str(tmp_path / f"out{i}"), label="small", report_path=reports)
+        sort_file(spark, p, str(tmp_path / f"out{i}"), label="small", report_path=reports, with_stats=True)
     s = report_summary(spark, reports).first()
     assert (s["label"], s["runs"], s["rows_in"], s["rows_out"], s["rows_rejected"]) == ("small", 2, 6, 4, 2)
     assert s["avg_mb_per_s"] > 0

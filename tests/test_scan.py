@@ -68,7 +68,7 @@ def test_sorted_output_files_concatenate_to_total_order(spark, text_file, tmp_pa
     lines = [f"{i % 97}. {t}" for i, t in enumerate(["pear", "Apple", "fig", "apple", ""] * 400)]
     p = text_file(lines)
     out = str(tmp_path / "sorted")
-    rep = sort_file(spark, p, out, partitions=6).first()
+    rep = sort_file(spark, p, out, partitions=6, with_stats=True).first()
     parts = sorted(f for f in os.listdir(out) if f.startswith("part-"))
     assert len(parts) > 1
     concat = []

@@ -26,13 +26,13 @@ BROADCAST_MAX_GROUPS = 2_000_000
 _ROW_MASK = (1 << 33) - 1  # monotonically_increasing_id: partition << 33 | row
 
 
-def _attach_offsets(df: DataFrame, group_cols: list[str], row_col: str) -> DataFrame:
+def _attach_offsets(df: DataFrame, group_cols: list[str], row_col: str, order_by=None) -> DataFrame:
     groups = df.groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("_n"), F.min(row_col).alias("_first")
     )
     # Prefix sum over the small per-group table (one row per partition/split),
     # materialised so its row count is known before choosing the join.
-    w = Window.orderBy(*group_cols).rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.orderBy(*(order_by or group_cols)).rowsBetween(Window.unboundedPreceding, -1)
     offsets = groups.select(
         *group_cols, "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset")
     ).checkpoint(eager=True)
@@ -61,9 +61,11 @@ def with_position(sorted_df: DataFrame, name: str = "pos") -> DataFrame:
 def position_in_files(ordered: DataFrame, name: str = "pos") -> DataFrame:
     """Add ``pos`` to a scan carrying the order columns of
     ``sources.text.with_scan_order`` (sorted output read back from files)."""
+    from ordo.sources.text import file_order
+
     shared_dir(ordered.sparkSession)
     out = _attach_offsets(
-        ordered.withColumn("_fi", F.coalesce("file_index", F.lit(-1))),
-        ["_fi", "file_name", "block_start"], "row_in_split",
-    ).drop("_fi")
+        ordered, ["file_name", "block_start"], "row_in_split",
+        order_by=file_order("file_name") + [F.col("block_start")],
+    )
     return out.withColumnRenamed("pos", name) if name != "pos" else out

@@ -2,7 +2,7 @@
 
 V1 (sortedness) needs adjacent pairs in file order. Rows of one file split
 are read by one task in file order, so adjacent pairs are compared inside
-each scan partition by ``mapInPandas``: one pass, no shuffle, one summary row
+each scan partition by ``mapInArrow`` (Arrow compute kernels): one pass, no shuffle, one summary row
 per split. Boundaries between splits of a file, and between files for a total
 order, are then compared on those small summaries.
 """
@@ -13,25 +13,34 @@ import sys
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordo.functions.keys import key_columns_of_line
 from ordo.functions.lines import parse_number, well_formed
-from ordo.sources.text import read_in_file_order
+from ordo.sources.text import file_index, file_order, read_in_file_order
 
 # Ship this module's functions to Python workers by value, so executors need
 # no installed copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SPLIT_SUMMARY_SCHEMA = (
-    "file_index long, file_name string, block_start long, n long, violations long, "
+    "file_name string, block_start long, n long, violations long, "
     "first_k1 string, first_k2 binary, first_n long, last_k1 string, last_k2 binary, last_n long"
 )
 
 
+_SUMMARY_ARROW = pa.schema([
+    ("file_name", pa.string()), ("block_start", pa.int64()),
+    ("n", pa.int64()), ("violations", pa.int64()),
+    ("first_k1", pa.string()), ("first_k2", pa.binary()), ("first_n", pa.int64()),
+    ("last_k1", pa.string()), ("last_k2", pa.binary()), ("last_n", pa.int64()),
+])
+
+
 def _keyed_scan(spark: SparkSession, paths, order: str) -> DataFrame:
     scan = read_in_file_order(spark, paths).where(parse_number("value").isNotNull())
     k = key_columns_of_line("value", order)
@@ -39,45 +48,51 @@ def _keyed_scan(spark: SparkSession, paths, order: str) -> DataFrame:
     k2 = k[1] if order == "ordinal" else F.lit(None).cast("binary")
     n = k[-2]
     return scan.select(
-        "file_index", "file_name", "block_start",
+        "file_name", "block_start",
         k1.alias("k1"), k2.alias("k2"), n.alias("n"),
     )
 
 
-def _split_summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _split_summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per scan partition: count adjacent pairs out of (text, number) order
-    within each split; carry the open split across Arrow batches."""
-    out: list[tuple] = []
+    within each split; carry the open split across Arrow batches. Pair
+    comparisons run as Arrow compute kernels; Python only visits the few
+    split boundaries of a batch."""
+    out: list[list] = []
     open_split: list | None = None  # [split id, n, violations, first key, last key]
+    empty_bin = pa.scalar(b"", pa.binary())
 
-    for pdf in batches:
-        if pdf.empty:
+    for rb in batches:
+        rows = rb.num_rows
+        if rows == 0:
             continue
-        k1 = pdf["k1"].to_numpy(object)
-        k2 = pdf["k2"].map(lambda b: b'' if b is None else bytes(b)).to_numpy(object)
-        n = pdf["n"].to_numpy(np.int64)
-        sid = list(zip(pdf["file_index"].tolist(), pdf["file_name"].tolist(), pdf["block_start"].tolist()))
-        same = np.zeros(len(pdf), dtype=bool)
-        if len(pdf) > 1:
-            fi = pdf["file_index"].fillna(-1).to_numpy()
-            fn = pdf["file_name"].to_numpy(object)
-            bs = pdf["block_start"].to_numpy()
-            same[1:] = (fi[1:] == fi[:-1]) & (fn[1:] == fn[:-1]) & (bs[1:] == bs[:-1])
-            gt1 = k1[:-1] > k1[1:]
-            eq1 = k1[:-1] == k1[1:]
-            gt2 = k2[:-1] > k2[1:]
-            eq2 = k2[:-1] == k2[1:]
-            bad = np.zeros(len(pdf), dtype=bool)
-            bad[1:] = (gt1 | (eq1 & (gt2 | (eq2 & (n[:-1] > n[1:]))))).astype(bool) & same[1:]
+        fn, bs = rb.column("file_name"), rb.column("block_start")
+        k1, n = rb.column("k1"), rb.column("n")
+        k2 = pc.fill_null(rb.column("k2"), empty_bin)  # null sorts first, like b""
+        if rows > 1:
+            def pair(op, col):
+                return op(col.slice(0, rows - 1), col.slice(1))
+            same = pc.and_(pair(pc.equal, fn), pair(pc.equal, bs))
+            out_of_order = pc.or_(
+                pair(pc.greater, k1),
+                pc.and_(pair(pc.equal, k1), pc.or_(
+                    pair(pc.greater, k2),
+                    pc.and_(pair(pc.equal, k2), pair(pc.greater, n)))),
+            )
+            same_np = same.to_numpy(zero_copy_only=False).astype(bool)
+            bad = (pc.and_(same, out_of_order).to_numpy(zero_copy_only=False)).astype(np.int64)
         else:
-            bad = np.zeros(1, dtype=bool)
-        starts = np.flatnonzero(~same)
-        ends = np.append(starts[1:], len(pdf))
-        for s, e in zip(starts, ends):
-            first = (k1[s], k2[s], int(n[s]))
-            last = (k1[e - 1], k2[e - 1], int(n[e - 1]))
-            viol = int(bad[s:e].sum())
-            if open_split is not None and open_split[0] == sid[s]:
+            same_np = np.zeros(0, dtype=bool)
+            bad = np.zeros(0, dtype=np.int64)
+        starts = np.concatenate([[0], np.flatnonzero(~same_np) + 1]).astype(np.int64)
+        ends = np.append(starts[1:], rows)
+        cum = np.concatenate([[0], np.cumsum(bad)])
+        for s, e in zip(starts.tolist(), ends.tolist()):
+            sid = (fn[s].as_py(), bs[s].as_py())
+            first = (k1[s].as_py(), k2[s].as_py(), n[s].as_py())
+            last = (k1[e - 1].as_py(), k2[e - 1].as_py(), n[e - 1].as_py())
+            viol = int(cum[e - 1] - cum[s])  # pairs (i, i+1) for i in [s, e-2]
+            if open_split is not None and open_split[0] == sid:
                 viol += int(open_split[4] > first)
                 open_split[1] += e - s
                 open_split[2] += viol
@@ -85,14 +100,16 @@ def _split_summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             else:
                 if open_split is not None:
                     out.append(open_split)
-                open_split = [sid[s], e - s, viol, first, last]
+                open_split = [sid, e - s, viol, first, last]
     if open_split is not None:
         out.append(open_split)
-    rows = [
-        (sid[0], sid[1], sid[2], cnt, viol, f[0], f[1] or None, f[2], l[0], l[1] or None, l[2])
+    names = [c.split()[0] for c in SPLIT_SUMMARY_SCHEMA.split(", ")]
+    rows_out = [
+        dict(zip(names, (sid[0], sid[1], cnt, viol,
+                         f[0], f[1] or None, f[2], l[0], l[1] or None, l[2])))
         for sid, cnt, viol, f, l in out
     ]
-    yield pd.DataFrame(rows, columns=[c.split()[0] for c in SPLIT_SUMMARY_SCHEMA.split(", ")])
+    yield pa.RecordBatch.from_pylist(rows_out, schema=_SUMMARY_ARROW)
 
 
 def _key(prefix: str) -> Column:
@@ -107,22 +124,22 @@ def check_sorted(spark: SparkSession, paths, order: str = "ordinal") -> DataFram
     ``follows_previous`` is false when the file's first row sorts before the
     previous file's last row (files ordered by part number, then name), which
     breaks a total order across files."""
-    splits = _keyed_scan(spark, paths, order).mapInPandas(_split_summaries, SPLIT_SUMMARY_SCHEMA)
+    splits = _keyed_scan(spark, paths, order).mapInArrow(_split_summaries, SPLIT_SUMMARY_SCHEMA)
     # Small tables from here on: one row per split, then one per file.
     w_split = Window.partitionBy("file_name").orderBy("block_start")
     splits = splits.withColumn(
         "boundary_bad",
         F.coalesce(F.lag(_key("last")).over(w_split) > _key("first"), F.lit(False)).cast("long"),
     )
-    files = splits.groupBy("file_index", "file_name").agg(
+    files = splits.groupBy("file_name").agg(
         F.sum("n").alias("n"),
         (F.sum("violations") + F.sum("boundary_bad")).alias("violations"),
         F.min(F.struct("block_start", _key("first").alias("k")))["k"].alias("first_key"),
         F.max(F.struct("block_start", _key("last").alias("k")))["k"].alias("last_key"),
     )
-    w_file = Window.orderBy(F.coalesce("file_index", F.lit(-1)), "file_name")
+    w_file = Window.orderBy(*file_order("file_name"))
     return files.select(
-        "file_name", "file_index", "n", "violations",
+        "file_name", file_index("file_name").alias("file_index"), "n", "violations",
         F.coalesce(F.lag("last_key").over(w_file) <= F.col("first_key"), F.lit(True)).alias("follows_previous"),
     )
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 # Fixed value: Spark names output files ``part-NNNNN-...``; the number is the
 # partition index (5 digits, more when there are 100,000 or more).
 PART_NUMBER = r"part-(\d+)"
-ORDER_COLUMNS = ("file_index", "file_name", "block_start", "row_in_split")
+ORDER_COLUMNS = ("file_name", "block_start", "row_in_split")
 
 
 def _paths(paths: str | Iterable[str]) -> list[str]:
@@ -67,15 +67,27 @@ def write_lines(df: DataFrame, path: str, column: str = "line", mode: str = "ove
     w.text(path)
 
 
+def file_index(file_name: str = "file_name"):
+    """Part number of a Spark output file name (null for other names). Meant
+    for small per-file or per-split tables, not for every row."""
+    return F.regexp_extract(file_name, PART_NUMBER, 1).try_cast("bigint")
+
+
+def file_order(file_name: str = "file_name") -> list:
+    """Sort expressions putting files in output order: part number, then name."""
+    return [F.coalesce(file_index(file_name), F.lit(-1)), F.col(file_name)]
+
+
 def with_scan_order(df: DataFrame) -> DataFrame:
-    """Add the columns that give a text scan its file order.
+    """Add the columns that give a text scan its file order: ``file_name``,
+    ``block_start`` (split offset) and ``row_in_split``.
 
     ``row_in_split`` is ``monotonically_increasing_id()`` taken directly on the
     scan: increasing within a split, and the same on every re-execution
-    because a scan plans the same splits for the same files."""
+    because a scan plans the same splits for the same files. Files are put in
+    order by ``file_order`` on the (small) per-split table."""
     return df.select(
         "*",
-        F.regexp_extract("_metadata.file_name", PART_NUMBER, 1).try_cast("bigint").alias("file_index"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("row_in_split"),
@@ -83,6 +95,5 @@ def with_scan_order(df: DataFrame) -> DataFrame:
 
 
 def read_in_file_order(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
-    """``value`` plus the order columns ``file_index, file_name, block_start,
-    row_in_split`` (``file_index`` is null for files not named ``part-N``)."""
+    """``value`` plus the order columns ``file_name, block_start, row_in_split``."""
     return with_scan_order(spark.read.text(_paths(paths)))

@@ -11,7 +11,9 @@ from ordo.sources.text import read_in_file_order, read_lines, read_runs, write_l
 
 
 def valid_in_file_order(spark, path):
-    scan = read_in_file_order(spark, path).orderBy("file_index", "file_name", "block_start", "row_in_split")
+    from ordo.sources.text import file_order
+
+    scan = read_in_file_order(spark, path).orderBy(*file_order(), "block_start", "row_in_split")
     return [(r["number"], r["text"]) for r in parse_lines(scan).collect()]
 
 

@@ -98,3 +98,17 @@ def test_hot_line_is_split_across_partitions(spark):
     sizes = [r["c"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("c")).collect()]
     assert sum(sizes) == n
     assert max(sizes) < n / 8 * 1.6
+
+
+def test_hot_line_in_one_input_partition_is_split(spark):
+    """Salt groups are bounded by row blocks, not by input partitions."""
+    from pyspark.sql import functions as F
+
+    n = 600_000
+    df = spark.range(0, n, 1, 1).select(
+        F.when(F.col("id") % 3 == 0, F.lit("7. hot")).otherwise(F.concat(F.col("id").cast("string"), F.lit(". x"))).alias("line")
+    )
+    out = sort_lines(df, partitions=8)
+    sizes = [r["c"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("c")).collect()]
+    assert sum(sizes) == n
+    assert max(sizes) <= n / 8 + 65_536 * 1.2

@@ -25,26 +25,49 @@ from ordo.plans.report import append_report, run_report
 from ordo.sources.generator import generate_sized
 from ordo.sources.text import input_bytes, read_lines, write_lines
 
-# Input bytes per sorted output partition when the count is not given. A
-# sorted partition is held by one task (spilling as needed) and written as one
-# part file. Spark samples at most 10^6 keys for the
-# range bounds, so at 100 TB 1 GiB (about 100,000 partitions) still gives
-# each bound about 10 samples, and keeps the M x N shuffle block count sane.
-# Locally the count is floored at one partition per core.
+# Input bytes per sorted output partition when the count is not given: the
+# smaller of TARGET_PARTITION_BYTES and what one task's share of execution
+# memory can sort without spilling. Sorting keeps each row as an UnsafeRow plus
+# its keys and a pointer/prefix pair: measured 7x the input bytes for 26-byte
+# lines (peak execution memory 448 MB for a 64 MB partition), so 8x is used.
 TARGET_PARTITION_BYTES = 1 << 30
-
+SORT_EXPANSION = 8
+# Spark samples at most 10^6 keys for range bounds. Above 200,000 partitions a
+# bound would rest on fewer than 5 samples and partitions grow uneven, so the
+# count stops there and larger partitions spill (Spark merges the spills).
+MAX_RANGE_PARTITIONS = 200_000
 
 # Inputs below this size skip the sample for the leading sort key: there the
 # extra job costs more than the comparisons it saves.
 LEAD_MIN_BYTES = 64 << 20
 
+_UNITS = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+
+
+def _size_conf(value: str) -> int:
+    v = value.strip().lower().removesuffix("b")
+    return int(float(v[:-1]) * _UNITS[v[-1]]) if v and v[-1] in _UNITS else int(v) * (1 << 20)
+
+
+def task_sort_memory(spark: SparkSession) -> int:
+    """Execution memory one task can expect: (heap - 300 MB reserved) x
+    ``spark.memory.fraction`` / task slots per JVM (driver heap in local mode)."""
+    conf = spark.sparkContext.getConf()
+    local = conf.get("spark.master", "").startswith("local")
+    heap = _size_conf(conf.get("spark.driver.memory" if local else "spark.executor.memory", "1g"))
+    slots = spark.sparkContext.defaultParallelism if local else int(conf.get("spark.executor.cores", "1"))
+    usable = (heap - (300 << 20)) * float(conf.get("spark.memory.fraction", "0.6"))
+    return max(1 << 20, int(usable / max(1, slots)))
+
 
 def _sizing(spark: SparkSession, inputs, target_bytes: int, size: int | None = None) -> tuple[int, bool]:
-    """(range partitions, use the leading key) for sorting ``inputs``:
-    input size / target, at least one partition per core of the session."""
+    """(range partitions, use the leading key) for sorting ``inputs``: enough
+    partitions that each sorts in memory and holds at most ``target_bytes`` of
+    input, at least one per core, at most MAX_RANGE_PARTITIONS."""
     size = input_bytes(spark, inputs) if size is None else size
-    by_size = math.ceil(size / max(1, target_bytes))
-    return max(1, by_size, spark.sparkContext.defaultParallelism), size >= LEAD_MIN_BYTES
+    per_partition = max(1, min(target_bytes, task_sort_memory(spark) // SORT_EXPANSION))
+    n = max(1, math.ceil(size / per_partition), spark.sparkContext.defaultParallelism)
+    return min(n, max(MAX_RANGE_PARTITIONS, math.ceil(size / max(1, target_bytes)))), size >= LEAD_MIN_BYTES
 
 
 def sort_partitions(spark: SparkSession, inputs, target_bytes: int = TARGET_PARTITION_BYTES) -> int:

@@ -28,13 +28,13 @@ from ordo.sources.text import file_index, file_order, read_in_file_order
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SPLIT_SUMMARY_SCHEMA = (
-    "file_name string, block_start long, n long, violations long, "
+    "file_id long, block_start long, n long, violations long, "
     "first_k1 string, first_k2 binary, first_n long, last_k1 string, last_k2 binary, last_n long"
 )
 
 
 _SUMMARY_ARROW = pa.schema([
-    ("file_name", pa.string()), ("block_start", pa.int64()),
+    ("file_id", pa.int64()), ("block_start", pa.int64()),
     ("n", pa.int64()), ("violations", pa.int64()),
     ("first_k1", pa.string()), ("first_k2", pa.binary()), ("first_n", pa.int64()),
     ("last_k1", pa.string()), ("last_k2", pa.binary()), ("last_n", pa.int64()),
@@ -48,7 +48,7 @@ def _keyed_scan(spark: SparkSession, paths, order: str) -> DataFrame:
     k2 = k[1] if order == "ordinal" else F.lit(None).cast("binary")
     n = k[-2]
     return scan.select(
-        "file_name", "block_start",
+        F.xxhash64("_metadata.file_path").alias("file_id"), "block_start",
         k1.alias("k1"), k2.alias("k2"), n.alias("n"),
     )
 
@@ -66,7 +66,7 @@ def _split_summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         rows = rb.num_rows
         if rows == 0:
             continue
-        fn, bs = rb.column("file_name"), rb.column("block_start")
+        fn, bs = rb.column("file_id"), rb.column("block_start")
         k1, n = rb.column("k1"), rb.column("n")
         k2 = pc.fill_null(rb.column("k2"), empty_bin)  # null sorts first, like b""
         if rows > 1:
@@ -116,6 +116,17 @@ def _key(prefix: str) -> Column:
     return F.struct(F.col(f"{prefix}_k1"), F.col(f"{prefix}_k2"), F.col(f"{prefix}_n"))
 
 
+def _file_names(spark: SparkSession, paths) -> DataFrame:
+    """``file_id, file_name`` per input file, from the file listing alone (the
+    binary-file source reads no content when ``content`` is not selected)."""
+    from ordo.sources.text import _paths
+
+    listing = spark.read.format("binaryFile").load(_paths(paths)).select("path")
+    return listing.select(
+        F.xxhash64("path").alias("file_id"), F.element_at(F.split("path", "/"), -1).alias("file_name")
+    )
+
+
 def check_sorted(spark: SparkSession, paths, order: str = "ordinal") -> DataFrame:
     """V1 (+A3): per file ``file_name, file_index, n, violations, follows_previous``.
 
@@ -123,20 +134,21 @@ def check_sorted(spark: SparkSession, paths, order: str = "ordinal") -> DataFram
     (text, number) order (lines equal on both may come in any order).
     ``follows_previous`` is false when the file's first row sorts before the
     previous file's last row (files ordered by part number, then name), which
-    breaks a total order across files."""
+    breaks a total order across files. Rows carry a 64-bit hash of their file
+    path, not its name; names join back on the per-file table."""
     splits = _keyed_scan(spark, paths, order).mapInArrow(_split_summaries, SPLIT_SUMMARY_SCHEMA)
     # Small tables from here on: one row per split, then one per file.
-    w_split = Window.partitionBy("file_name").orderBy("block_start")
+    w_split = Window.partitionBy("file_id").orderBy("block_start")
     splits = splits.withColumn(
         "boundary_bad",
         F.coalesce(F.lag(_key("last")).over(w_split) > _key("first"), F.lit(False)).cast("long"),
     )
-    files = splits.groupBy("file_name").agg(
+    files = splits.groupBy("file_id").agg(
         F.sum("n").alias("n"),
         (F.sum("violations") + F.sum("boundary_bad")).alias("violations"),
         F.min(F.struct("block_start", _key("first").alias("k")))["k"].alias("first_key"),
         F.max(F.struct("block_start", _key("last").alias("k")))["k"].alias("last_key"),
-    )
+    ).join(_file_names(spark, paths), "file_id")
     w_file = Window.orderBy(*file_order("file_name"))
     return files.select(
         "file_name", file_index("file_name").alias("file_index"), "n", "violations",

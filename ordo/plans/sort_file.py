@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 import math
+import re
 import time
 from contextlib import contextmanager
 
@@ -41,12 +42,19 @@ MAX_RANGE_PARTITIONS = 200_000
 # extra job costs more than the comparisons it saves.
 LEAD_MIN_BYTES = 64 << 20
 
-_UNITS = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+_UNITS = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
-def _size_conf(value: str) -> int:
-    v = value.strip().lower().removesuffix("b")
-    return int(float(v[:-1]) * _UNITS[v[-1]]) if v and v[-1] in _UNITS else int(v) * (1 << 20)
+def _size_conf(value: str, default_unit: str = "m") -> int:
+    """Parse a Spark size setting (``8g``, ``512m``, ``134217728b``); a bare
+    number takes ``default_unit`` (MiB for memory settings, bytes for others)."""
+    m = re.fullmatch(r"\s*(\d+(?:\.\d+)?)\s*([kmgt]?)(i?b)?\s*", value.lower())
+    if not m:
+        raise ValueError(f"not a size: {value!r}")
+    num, unit, suffix = m.groups()
+    if not unit and not suffix:
+        unit = default_unit
+    return int(float(num) * _UNITS[unit])
 
 
 def task_sort_memory(spark: SparkSession) -> int:
@@ -124,8 +132,15 @@ def sort_file(spark: SparkSession, inputs, output_dir: str, order: str = "ordina
 def split_and_sort(spark: SparkSession, inputs, runs_dir: str, max_run_bytes: int | None = None,
                    order: str = "ordinal") -> DataFrame:
     """Phase 1: write one sorted run file per input split (runs of at most
-    ``max_run_bytes`` of input each). Returns ``run_id, n`` per run."""
-    value = None if max_run_bytes is None else str(int(max_run_bytes))
+    ``max_run_bytes`` of input each). Returns ``run_id, n`` per run.
+
+    By default a run is as large as one task can sort in its execution memory
+    (and no larger than ``spark.sql.files.maxPartitionBytes``), the Spark
+    counterpart of a chunk size given as a memory budget."""
+    if max_run_bytes is None:
+        split = _size_conf(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"), default_unit="")
+        max_run_bytes = max(1 << 20, min(split, task_sort_memory(spark) // SORT_EXPANSION))
+    value = str(int(max_run_bytes))
     with _session_conf(spark, "spark.sql.files.maxPartitionBytes", value):
         lead = input_bytes(spark, inputs) >= LEAD_MIN_BYTES
         runs = sorted_runs(read_lines(spark, inputs), "value", order, lead=lead)

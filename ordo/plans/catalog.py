@@ -285,6 +285,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # ---------------------------------------------------------------- oracle SQL
 
 _GUARD = r"[\t-\r ]*[+-]?[0-9]+[\t-\r ]*"
+# Fixed value: the Unicode White_Space characters (what Java's (?U)\s and a
+# whitespace-only check match); RE2's \s alone is ASCII and lacks \v.
+_WHITE_SPACE = (
+    r"[\t\n\x{0b}\f\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
+    r"\x{202f}\x{205f}\x{3000}]"
+)
 
 
 def _sql_lines(table: str, key: str, text: str) -> str:
@@ -327,7 +333,7 @@ def _sql_reason(lines_sql: str) -> str:
     return f"""
     SELECT CASE WHEN number IS NOT NULL THEN 'valid'
                 WHEN line = '' THEN 'empty'
-                WHEN regexp_full_match(line, '\\s+') THEN 'blank'
+                WHEN regexp_full_match(line, '{_WHITE_SPACE}+') THEN 'blank'
                 WHEN instr(line, '.') = 0 THEN 'no_delimiter'
                 ELSE 'bad_number' END AS reason
     FROM ({_sql_parsed(lines_sql)})"""

@@ -68,3 +68,20 @@ def test_reject_reasons(lines_df):
 def test_parse_is_one_codegen_stage_without_python(lines_df):
     plan = parse_lines(lines_df(["1. a"]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "BatchEvalPython" not in plan
+
+
+@pytest.mark.parametrize("ws", ["　", " ", "\x0b", " ", "\u0085", " \t  "])
+def test_unicode_whitespace_is_blank(lines_df, ws):
+    assert parse_with_reason(lines_df([ws])).first()["reason"] == "blank"
+
+
+def test_oracle_blank_pattern_agrees_with_spark(lines_df):
+    import duckdb
+
+    from ordo.plans.catalog import _WHITE_SPACE
+
+    samples = ["　", " ", "\x0b", " ", "\u0085", " \t ", "​", "\x1c", "a "]
+    con = duckdb.connect()
+    duck = [con.execute(f"SELECT regexp_full_match(?, '{_WHITE_SPACE}+')", [x]).fetchone()[0] for x in samples]
+    spark_rows = {r["line"]: r["reason"] == "blank" for r in parse_with_reason(lines_df(samples)).collect()}
+    assert duck == [spark_rows[x] for x in samples]

@@ -43,13 +43,6 @@ def delimiter_pos(value: Column | str) -> Column:
     return F.instr(_col(value), ".")
 
 
-def number_prefix(value: Column | str) -> Column:
-    """Everything before the first dot; null when the line has no dot."""
-    v = _col(value)
-    dot = delimiter_pos(v)
-    return F.when(dot > 0, F.substring_index(v, ".", 1))
-
-
 def parse_number(value: Column | str) -> Column:
     """Guarded int64 parse of the number prefix; null means "reject".
 

@@ -30,7 +30,9 @@ from ordo.operators.parse import parse_lines, reject_summary
 from ordo.operators.position import position_in_files, with_position
 from ordo.operators.profile import count_conservation, run_profile
 from ordo.operators.sort import merge_runs, sort_lines, sort_within, sorted_runs, top_lines
-from ordo.operators.validate import bag_equal, check_sorted, format_check, order_equal, sorted_summary
+from ordo.operators.validate import (
+    bag_equal, check_sorted, format_check, order_equal, size_in_window, sorted_summary,
+)
 from ordo.plans.report import report_summary
 from ordo.plans.sort_file import generate_file, merge_files, sort_file
 from ordo.session import scratch_path
@@ -252,9 +254,7 @@ def q_generate_lines(spark, sf_dir):
         F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s")
     ).groupBy("f", "s").count().agg(F.sum("s").alias("bytes"))
     fmt = format_check(scan, "value")
-    size_ok = stats.select(
-        ((F.col("bytes") >= target) & (F.col("bytes") < target + 500 * 1024)).alias("size_ok")
-    )
+    size_ok = stats.select(size_in_window(F.col("bytes"), int(target)).alias("size_ok"))
     return fmt.unionByName(size_ok.select(F.col("size_ok").alias("ok"), F.lit(-1).cast("long").alias("n")))
 
 

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 # Fixed value: Spark names output files ``part-NNNNN-...``; the number is the
 # partition index (5 digits, more when there are 100,000 or more).
 PART_NUMBER = r"part-(\d+)"
-ORDER_COLUMNS = ("file_name", "block_start", "row_in_split")
 
 
 def _paths(paths: str | Iterable[str]) -> list[str]:

@@ -85,3 +85,10 @@ def test_oracle_blank_pattern_agrees_with_spark(lines_df):
     duck = [con.execute(f"SELECT regexp_full_match(?, '{_WHITE_SPACE}+')", [x]).fetchone()[0] for x in samples]
     spark_rows = {r["line"]: r["reason"] == "blank" for r in parse_with_reason(lines_df(samples)).collect()}
     assert duck == [spark_rows[x] for x in samples]
+
+
+def test_utf16_length_and_memory_estimate(lines_df):
+    from ordo.functions.lines import memory_estimate, utf16_length
+
+    r = lines_df(["a\U0001F600é"]).select(utf16_length("value").alias("u"), memory_estimate("value").alias("m")).first()
+    assert (r["u"], r["m"]) == (4, 4 * 2 + 20)

@@ -5,9 +5,10 @@ Plan of a total sort (``sort_lines``)::
     scan -> filter has-dot -> Exchange rangepartitioning(key(line), salt)
          -> filter valid -> Project keys -> Sort (within partition) -> Project line
 
-* Only ``line`` (plus an 8-byte salt) crosses the shuffle. The keys are
-  recomputed from the line after the exchange, which is cheaper than moving a
-  UTF-16 copy of the text through shuffle files at scale.
+* Only ``line`` and the salt cross the shuffle. The keys are recomputed from
+  the line after the exchange: carrying them instead grew the compressed
+  shuffle from 295 MB to 685 MB per 512 MB of lines (measured), and on a
+  cluster the shuffle is the scarcer resource.
 * The range partitioner samples the whole key (text key, number, line, salt),
   so ties on text are cut by number, and a single line repeated in bulk (one
   value may hold a third of all rows) is cut by the salt into groups of at
@@ -152,12 +153,12 @@ def sorted_runs(df: DataFrame, line: str = "line", order: str = "ordinal", valid
 
 
 def merge_runs(runs: DataFrame, line: str = "line", order: str = "ordinal",
-               partitions: int | None = None, validate: bool = True) -> DataFrame:
+               partitions: int | None = None, validate: bool = True, lead: bool = True) -> DataFrame:
     """Merge any number of runs (bag union) into one total order.
 
     One shuffle whatever the run count: there is no fan-in limit and no merge
     pass. Inputs need not be sorted."""
-    return sort_lines(runs, line, order, partitions, validate=validate)
+    return sort_lines(runs, line, order, partitions, validate=validate, lead=lead)
 
 
 def top_lines(df: DataFrame, n: int = 10, line: str = "line", order: str = "ordinal",

@@ -50,3 +50,17 @@ def test_blank_every(spark, tmp_path):
 def test_all_phrases_used(spark):
     seen = {r["line"].split(". ", 1)[1] for r in generate_lines(spark, 2000).collect()}
     assert seen == set(PHRASES)
+
+
+def test_sorted_generated_lines_are_balanced(spark):
+    """11 phrases: the whole key (text, number, line) lets ranges cut inside a
+    phrase, so partitions are even in rows."""
+    from pyspark.sql import functions as F
+
+    from ordo.operators.sort import sort_lines
+
+    n = 200_000
+    out = sort_lines(generate_lines(spark, n, seed=9), partitions=8)
+    sizes = [r["c"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("c")).collect()]
+    assert sum(sizes) == n and len(sizes) == 8
+    assert max(sizes) < 1.3 * n / 8 and min(sizes) > 0.7 * n / 8

@@ -78,6 +78,23 @@ def _sizing(spark: SparkSession, inputs, target_bytes: int, size: int | None = N
     return min(n, max(MAX_RANGE_PARTITIONS, math.ceil(size / max(1, target_bytes)))), size >= LEAD_MIN_BYTES
 
 
+@contextmanager
+def _session_conf(spark: SparkSession, key: str, value: str | None):
+    """Set a session setting for the duration of one job, then restore it."""
+    if value is None:
+        yield
+        return
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def sort_file(spark: SparkSession, inputs, output_dir: str, order: str = "ordinal",
               partitions: int | None = None, label: str = "sort", report_path: str | None = None,
               with_stats: bool = False, line_sep: str | None = None,

@@ -136,7 +136,7 @@ def q_top10_lines(spark, sf_dir):
     top = top_lines(orders_lines(spark, sf_dir), 10)
     # ten rows: numbering them in one task is bounded by the limit itself
     k = bind_keys(top, "line")
-    return k.select(F.row_number().over(Window.orderBy(*bound_order("line"))).alias("pos"), "line")
+    return k.select(F.row_number().over(Window.orderBy(*bound_order("line"))).cast("bigint").alias("pos"), "line")
 
 
 def q_merge_runs(spark, sf_dir):
@@ -352,7 +352,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "merge_many_runs": _sql_sorted(SQL_LINES["lineitem"]),
     "run_profile": f"""
-        SELECT run_id, count(*) AS n, sum(2 * length(line) + 20) AS est_bytes,
+        SELECT run_id, count(*) AS n, CAST(sum(2 * length(line) + 20) AS BIGINT) AS est_bytes,
                arg_min(line, {{'t': text, 'n': number, 'l': line}}) AS min_line,
                arg_max(line, {{'t': text, 'n': number, 'l': line}}) AS max_line,
                bool_or(contains(line, 'red')) AS has_word
@@ -376,7 +376,7 @@ ORACLE_SQL: dict[str, str] = {
     "run_report": f"""
         SELECT 'documents' AS label, count(*) AS rows_in,
                count(number) AS rows_out, count(*) - count(number) AS rows_rejected,
-               sum(strlen(line) + 1) AS input_bytes
+               CAST(sum(strlen(line) + 1) AS BIGINT) AS input_bytes
         FROM ({_sql_parsed(SQL_LINES['documents'])})""",
     "report_summary": """
         SELECT 'orders' AS label, CAST(2 AS BIGINT) AS runs, 2 * count(*) AS rows_in,

@@ -38,17 +38,19 @@ def input_stats(spark: SparkSession, paths) -> DataFrame:
 
 def run_profile(runs: DataFrame, run: str = "run_id", line: str = "line",
                 word: str = "Apple", order: str = "ordinal") -> DataFrame:
-    """A4 (+V5, V6, P9): per run ``run_id, n, est_bytes, min_line, max_line,
-    has_word``; min/max by the sort order (text, number, line)."""
+    """A4 (+V5, V6, P9, F14): per run ``run_id, n, est_bytes, min_line,
+    max_line, has_word, avg_bytes``; min/max by the sort order (text, number,
+    line); ``avg_bytes`` is a safe ratio (null for an empty run)."""
     k = key_columns_of_line(line, order)
     key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(k)])
-    return runs.groupBy(F.col(run).alias("run_id")).agg(
+    prof = runs.groupBy(F.col(run).alias("run_id")).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(memory_estimate(line)).alias("est_bytes"),
         F.min(key)[f"k{len(k) - 1}"].alias("min_line"),
         F.max(key)[f"k{len(k) - 1}"].alias("max_line"),
         F.bool_or(F.col(line).contains(word)).alias("has_word"),
     )
+    return prof.withColumn("avg_bytes", F.try_divide(F.col("est_bytes").cast("double"), F.col("n")))
 
 
 def count_conservation(before: DataFrame, runs: DataFrame, run: str = "run_id") -> DataFrame:

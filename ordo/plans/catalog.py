@@ -355,7 +355,8 @@ ORACLE_SQL: dict[str, str] = {
         SELECT run_id, count(*) AS n, CAST(sum(2 * length(line) + 20) AS BIGINT) AS est_bytes,
                arg_min(line, {{'t': text, 'n': number, 'l': line}}) AS min_line,
                arg_max(line, {{'t': text, 'n': number, 'l': line}}) AS max_line,
-               bool_or(contains(line, 'red')) AS has_word
+               bool_or(contains(line, 'red')) AS has_word,
+               CAST(sum(2 * length(line) + 20) AS DOUBLE) / count(*) AS avg_bytes
         FROM (SELECT p_brand AS run_id, CAST(p_partkey AS VARCHAR) || '. ' || p_name AS line,
                      p_partkey AS number, p_name AS text FROM part)
         GROUP BY run_id""",

@@ -38,6 +38,7 @@ ORDERS = ("ordinal", "utf8")
 # order, and the pattern of the prefix before it.
 HIGH_START = "\ue000"
 LOW_PREFIX = r"\A[^\x{E000}-\x{10FFFF}]*"
+HIGH_CHAR = r"[\x{E000}-\x{10FFFF}]"
 
 TKEY = "_tkey"
 TKEY2 = "_tkey2"
@@ -50,15 +51,11 @@ def text_keys(text: Column | str, order: str = "ordinal") -> list[Column]:
         return [t]
     if order != "ordinal":
         raise ValueError(f"order must be one of {ORDERS}, got {order!r}")
-    ascii_only = F.octet_length(t) == F.length(t)
-    low = F.regexp_extract(t, LOW_PREFIX, 0)
-    has_high = F.length(low) < F.length(t)
-    key1 = (
-        F.when(ascii_only, t)
-        .when(has_high, F.concat(low, F.lit(HIGH_START)))
-        .otherwise(t)
-    )
-    key2 = F.when(~ascii_only & has_high, F.encode(t, "UTF-16BE"))
+    # ASCII texts stop at the length check; other texts pay one regex find,
+    # and only the rare ones with a character >= U+E000 build the prefix.
+    special = (F.octet_length(t) != F.length(t)) & t.rlike(HIGH_CHAR)
+    key1 = F.when(special, F.concat(F.regexp_extract(t, LOW_PREFIX, 0), F.lit(HIGH_START))).otherwise(t)
+    key2 = F.when(special, F.encode(t, "UTF-16BE"))
     return [key1, key2]
 
 

@@ -34,6 +34,7 @@ MAX_TEXTS = 64
 SAMPLE_ROWS = 10_000
 SAMPLE_FRACTION = 0.1
 MIN_SHARE = 0.002  # a text must hold at least this share of the sample
+MAX_TEXT_BYTES = 256  # longer texts stay out of the literals of the CASE tree
 _Q_BITS = 47
 _SLOT_SHIFT = 48
 
@@ -51,7 +52,7 @@ def plan_from_sample(rows: list[tuple[str, int]]) -> LeadPlan | None:
     sample rows (text keys of rows that need the UTF-16 tie key are excluded)."""
     if not rows:
         return None
-    counts = Counter(k for k, _ in rows)
+    counts = Counter(k for k, _ in rows if len(k.encode("utf-8")) <= MAX_TEXT_BYTES)
     need = max(2, int(MIN_SHARE * len(rows)))
     frequent = [k for k, c in counts.most_common(MAX_TEXTS) if c >= need]
     if not frequent:

@@ -68,3 +68,9 @@ def test_utf8_order_with_plan(lines_df):
         t = t[1:] if t.startswith(" ") else t
         return (t.encode("utf-8"), k[1], line.encode("utf-8"))
     assert got == sorted(lines, key=utf8_key)
+
+
+def test_long_texts_stay_out_of_the_dictionary():
+    long_text = "x" * 300
+    plan = plan_from_sample([(long_text, i) for i in range(100)] + [("short", i) for i in range(100)])
+    assert plan.texts == ("short",)

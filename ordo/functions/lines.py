@@ -60,12 +60,14 @@ def number_of_valid(line: Column | str) -> Column:
 
 
 def text_slice(value: Column | str) -> Column:
-    """Text after the first dot, dropping exactly one space if present."""
+    """Text after the first dot, dropping exactly one space if present.
+
+    The first ``". "`` starts at the first dot exactly when a space follows
+    it, so two ``instr`` scans decide the start without allocating."""
     v = _col(value)
     dot = delimiter_pos(v)
-    return F.when(F.substring(v, dot + 1, 1) == " ", F.substring(v, dot + 2, _REST)).otherwise(
-        F.substring(v, dot + 1, _REST)
-    )
+    skip = F.when(F.instr(v, ". ") == dot, 2).otherwise(1)
+    return F.substring(v, dot + skip, _REST)
 
 
 def reject_reason(value: Column | str, number: Column | None = None) -> Column:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordo.functions.keys import bind_keys, bound_order
-from ordo.functions.lines import line_of
+from ordo.functions.lines import line_of, well_formed
 from ordo.operators.parse import parse_lines, reject_summary
 from ordo.operators.position import position_in_files, with_position
 from ordo.operators.profile import count_conservation, run_profile
@@ -243,19 +243,22 @@ def q_stream_merge(spark, sf_dir):
 
 
 def q_generate_lines(spark, sf_dir):
-    """Generate as many bytes as the lineitem lines take."""
+    """Generate as many bytes as the lineitem lines take; one
+    row ``target_bytes, format_ok, size_ok``."""
     target = lineitem_lines(spark, sf_dir).agg(
         F.sum(F.octet_length("line") + 1).alias("b")
     ).first()["b"]
     path = scratch_path(spark, "generated")
     generate_file(spark, path, int(target))
     scan = spark.read.text(path)
-    stats = scan.select(
-        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s")
-    ).groupBy("f", "s").count().agg(F.sum("s").alias("bytes"))
-    fmt = format_check(scan, "value")
-    size_ok = stats.select(size_in_window(F.col("bytes"), int(target)).alias("size_ok"))
-    return fmt.unionByName(size_ok.select(F.col("size_ok").alias("ok"), F.lit(-1).cast("long").alias("n")))
+    files = scan.select(
+        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"), "value"
+    ).groupBy("f", "s").agg(F.count_if(~well_formed("value")).alias("bad"))
+    return files.agg(
+        F.lit(int(target)).cast("bigint").alias("target_bytes"),
+        (F.sum("bad") == 0).alias("format_ok"),
+        size_in_window(F.sum("s"), int(target)).alias("size_ok"),
+    )
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -385,4 +388,7 @@ ORACLE_SQL: dict[str, str] = {
     "order_equal": """
         SELECT count(*) AS n_actual, count(*) AS n_expected, CAST(0 AS BIGINT) AS mismatches FROM lineitem""",
     "stream_merge": _sql_sorted(f"{SQL_LINES['part']} UNION ALL {SQL_LINES['supplier']}"),
+    "generate_lines": f"""
+        SELECT CAST(sum(strlen(line) + 1) AS BIGINT) AS target_bytes, true AS format_ok, true AS size_ok
+        FROM ({SQL_LINES['lineitem']})""",
 }

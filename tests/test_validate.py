@@ -36,6 +36,20 @@ def test_sortedness_good_and_planted_inversion(spark, tmp_path):
     assert (s["files"], s["n"], s["violations"], s["total_order"]) == (3, 807, 1, False)
 
 
+def test_sortedness_uses_utf16_order(spark, tmp_path):
+    # U+1F600 is D83D DE00 in UTF-16 and sorts before U+FB01 there, but after
+    # it by code point: only an ordinal check sees the second file as wrong.
+    d = str(tmp_path / "runs")
+    write_run(d, "part-00000.txt", ["5. \U0001F600", "1. ﬁ", "2. ﬁx"])
+    write_run(d, "part-00001.txt", ["1. ﬁy", "0. ﬁy", "3. \U0001F600"])
+    res = {r["file_name"]: r for r in check_sorted(spark, d).collect()}
+    assert res["part-00000.txt"]["violations"] == 0
+    assert res["part-00001.txt"]["violations"] == 2 and res["part-00001.txt"]["follows_previous"]
+    utf8 = {r["file_name"]: r for r in check_sorted(spark, d, order="utf8").collect()}
+    assert utf8["part-00000.txt"]["violations"] == 1
+    assert utf8["part-00001.txt"]["violations"] == 1 and utf8["part-00001.txt"]["follows_previous"]
+
+
 def test_sortedness_of_real_sort_output(spark, text_file, tmp_path):
     lines = [f"{(i * 7919) % 1000}. {w}" for i, w in enumerate(["x", "Y", "é", "\U0001F600", "ﬁ"] * 600)]
     out = str(tmp_path / "sorted")

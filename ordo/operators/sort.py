@@ -13,7 +13,10 @@ Plan of a total sort (``sort_lines``)::
   so ties on text are cut by number, and a single line repeated in bulk (one
   value may hold a third of all rows) is cut by the salt into groups of at
   most 65,536 rows: no range task gets more than its share plus one group.
-  The salt is not a sort key: identical lines are interchangeable.
+  The salt is not a sort key: identical lines are interchangeable. It is a
+  row's position in its input partition, reproduced on a task retry when the
+  input's row order is (file scans and narrow transformations of them); sort
+  the output of a shuffle only after writing or ``checkpoint()``-ing it.
 * Keys are bound in a projection below the sort, so each row computes its
   keys once, not once per comparison.
 * A leading 64-bit key (``functions.prefix``) lets rows of frequent texts be

@@ -22,9 +22,6 @@ from pyspark.sql import functions as F
 # The accepted shape of the number prefix (whitespace = TAB..CR
 # and space; trailing NULs tolerated) and the reject reasons, in check order.
 NUMBER_GUARD = r"\A[\t-\r ]*[+-]?[0-9]+[\t-\r ]*\x00*\z"
-# The same guard applied to the whole line, up to the first dot (the prefix
-# pattern contains no dot, so the dot it reaches is the first one).
-LINE_GUARD = r"\A[\t-\r ]*[+-]?[0-9]+[\t-\r ]*\x00*\."
 BLANK_PATTERN = r"(?U)\A\s+\z"
 REASON_EMPTY = "empty"
 REASON_BLANK = "blank"
@@ -46,12 +43,16 @@ def delimiter_pos(value: Column | str) -> Column:
 def parse_number(value: Column | str) -> Column:
     """Guarded int64 parse of the number prefix; null means "reject".
 
-    One anchored regex over the line checks the prefix shape (it also rejects
-    the control characters ``try_cast`` would otherwise trim away); the cast
-    then rejects overflow. Cheaper than slicing the prefix first (measured).
+    One anchored regex over the prefix checks its shape (it also rejects the
+    control characters ``try_cast`` would otherwise trim away); the cast then
+    rejects overflow. ``rlike`` decodes its whole input to a Java string, so
+    the regex sees only the prefix: the guard's cost does not grow with the
+    text. Measured: the same time as a whole-line regex on 25-byte lines, a
+    sixth of it on 2,500-character lines.
     """
     v = _col(value)
-    return F.when(v.rlike(LINE_GUARD), F.substring_index(v, ".", 1).try_cast("bigint"))
+    prefix = F.substring_index(v, ".", 1)
+    return F.when((delimiter_pos(v) > 0) & prefix.rlike(NUMBER_GUARD), prefix.try_cast("bigint"))
 
 
 def number_of_valid(line: Column | str) -> Column:

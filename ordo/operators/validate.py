@@ -19,8 +19,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ordo.functions.keys import key_columns_of_line
-from ordo.functions.lines import parse_number, well_formed
+from ordo.functions.keys import binary_text_key
+from ordo.functions.lines import number_of_valid, parse_number, text_slice, well_formed
 from ordo.sources.text import file_index, file_order, read_in_file_order
 
 # Ship this module's functions to Python workers by value, so executors need
@@ -29,27 +29,23 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SPLIT_SUMMARY_SCHEMA = (
     "file_id long, block_start long, n long, violations long, "
-    "first_k1 string, first_k2 binary, first_n long, last_k1 string, last_k2 binary, last_n long"
+    "first_k binary, first_n long, last_k binary, last_n long"
 )
 
 
 _SUMMARY_ARROW = pa.schema([
     ("file_id", pa.int64()), ("block_start", pa.int64()),
     ("n", pa.int64()), ("violations", pa.int64()),
-    ("first_k1", pa.string()), ("first_k2", pa.binary()), ("first_n", pa.int64()),
-    ("last_k1", pa.string()), ("last_k2", pa.binary()), ("last_n", pa.int64()),
+    ("first_k", pa.binary()), ("first_n", pa.int64()),
+    ("last_k", pa.binary()), ("last_n", pa.int64()),
 ])
 
 
 def _keyed_scan(spark: SparkSession, paths, order: str) -> DataFrame:
     scan = read_in_file_order(spark, paths).where(parse_number("value").isNotNull())
-    k = key_columns_of_line("value", order)
-    k1 = k[0]
-    k2 = k[1] if order == "ordinal" else F.lit(None).cast("binary")
-    n = k[-2]
     return scan.select(
         F.xxhash64("_metadata.file_path").alias("file_id"), "block_start",
-        k1.alias("k1"), k2.alias("k2"), n.alias("n"),
+        binary_text_key(text_slice("value"), order).alias("k"), number_of_valid("value").alias("n"),
     )
 
 
@@ -60,24 +56,20 @@ def _split_summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     split boundaries of a batch."""
     out: list[list] = []
     open_split: list | None = None  # [split id, n, violations, first key, last key]
-    empty_bin = pa.scalar(b"", pa.binary())
 
     for rb in batches:
         rows = rb.num_rows
         if rows == 0:
             continue
         fn, bs = rb.column("file_id"), rb.column("block_start")
-        k1, n = rb.column("k1"), rb.column("n")
-        k2 = pc.fill_null(rb.column("k2"), empty_bin)  # null sorts first, like b""
+        k, n = rb.column("k"), rb.column("n")
         if rows > 1:
             def pair(op, col):
                 return op(col.slice(0, rows - 1), col.slice(1))
             same = pc.and_(pair(pc.equal, fn), pair(pc.equal, bs))
             out_of_order = pc.or_(
-                pair(pc.greater, k1),
-                pc.and_(pair(pc.equal, k1), pc.or_(
-                    pair(pc.greater, k2),
-                    pc.and_(pair(pc.equal, k2), pair(pc.greater, n)))),
+                pair(pc.greater, k),
+                pc.and_(pair(pc.equal, k), pair(pc.greater, n)),
             )
             same_np = same.to_numpy(zero_copy_only=False).astype(bool)
             bad = (pc.and_(same, out_of_order).to_numpy(zero_copy_only=False)).astype(np.int64)
@@ -89,8 +81,8 @@ def _split_summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         cum = np.concatenate([[0], np.cumsum(bad)])
         for s, e in zip(starts.tolist(), ends.tolist()):
             sid = (fn[s].as_py(), bs[s].as_py())
-            first = (k1[s].as_py(), k2[s].as_py(), n[s].as_py())
-            last = (k1[e - 1].as_py(), k2[e - 1].as_py(), n[e - 1].as_py())
+            first = (k[s].as_py(), n[s].as_py())
+            last = (k[e - 1].as_py(), n[e - 1].as_py())
             viol = int(cum[e - 1] - cum[s])  # pairs (i, i+1) for i in [s, e-2]
             if open_split is not None and open_split[0] == sid:
                 viol += int(open_split[4] > first)
@@ -105,15 +97,14 @@ def _split_summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         out.append(open_split)
     names = [c.split()[0] for c in SPLIT_SUMMARY_SCHEMA.split(", ")]
     rows_out = [
-        dict(zip(names, (sid[0], sid[1], cnt, viol,
-                         f[0], f[1] or None, f[2], l[0], l[1] or None, l[2])))
+        dict(zip(names, (sid[0], sid[1], cnt, viol, f[0], f[1], l[0], l[1])))
         for sid, cnt, viol, f, l in out
     ]
     yield pa.RecordBatch.from_pylist(rows_out, schema=_SUMMARY_ARROW)
 
 
 def _key(prefix: str) -> Column:
-    return F.struct(F.col(f"{prefix}_k1"), F.col(f"{prefix}_k2"), F.col(f"{prefix}_n"))
+    return F.struct(F.col(f"{prefix}_k"), F.col(f"{prefix}_n"))
 
 
 def _file_names(spark: SparkSession, paths) -> DataFrame:

@@ -112,3 +112,21 @@ def test_hot_line_in_one_input_partition_is_split(spark):
     sizes = [r["c"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("c")).collect()]
     assert sum(sizes) == n
     assert max(sizes) <= n / 8 + 65_536 * 1.2
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.sampled_from(ALPHABET), max_size=6).map("".join), min_size=1, max_size=40))
+def test_binary_text_key_orders_like_utf16(spark, texts):
+    from pyspark.sql import functions as F
+
+    from ordo.functions.keys import binary_text_key
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    keys = [(r["t"], bytes(r["k"])) for r in df.select("t", binary_text_key(F.col("t")).alias("k")).collect()]
+
+    def sign(a, b):
+        return (a > b) - (a < b)
+
+    for a, ka in keys:
+        for b, kb in keys:
+            assert sign(ka, kb) == sign(a.encode("utf-16-be"), b.encode("utf-16-be")), (a, b)

@@ -24,11 +24,20 @@ from ordo.session import scratch_path
 
 def _write_batch(runs_dir: str, rejects_dir: str | None, order: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        valid = batch.where(F.col("reason").isNull()).select("line")
-        sort_within(valid, order).write.mode("overwrite").text(os.path.join(runs_dir, f"batch={batch_id}"))
+        # Two sinks read the batch: keep it for the second one instead of
+        # reading and parsing the files again. persist keeps the lineage, so
+        # a lost block is recomputed from the (unchanged) input files.
         if rejects_dir is not None:
-            (batch.where(F.col("reason").isNotNull()).select("line", "reason")
-             .write.mode("overwrite").parquet(os.path.join(rejects_dir, f"batch={batch_id}")))
+            batch = batch.persist()
+        try:
+            valid = batch.where(F.col("reason").isNull()).select("line")
+            sort_within(valid, order).write.mode("overwrite").text(os.path.join(runs_dir, f"batch={batch_id}"))
+            if rejects_dir is not None:
+                (batch.where(F.col("reason").isNotNull()).select("line", "reason")
+                 .write.mode("overwrite").parquet(os.path.join(rejects_dir, f"batch={batch_id}")))
+        finally:
+            if rejects_dir is not None:
+                batch.unpersist()
     return write
 
 

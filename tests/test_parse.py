@@ -38,6 +38,8 @@ def test_invalid_format(lines_df, bad):
         ("01. A", 1, "A"),
         ("\t3\r. A", 3, "A"),
         ("3\x00. A", 3, "A"),
+        ("3 \x00. A", 3, "A"),
+        ("7. " + "x" * 200_000, 7, "x" * 200_000),
     ],
 )
 def test_edge_valid(lines_df, value, number, text):
@@ -47,7 +49,7 @@ def test_edge_valid(lines_df, value, number, text):
 @pytest.mark.parametrize(
     "value",
     ["- 8. A", "99999999999999999999. A", "1e3. A", "1_000. A", "1,000. A", "0x1F. A", "1L. A",
-     ". NoNumber", "\x1f3. A", "\x003. A", "\xa03. A", "٣. A"],
+     ". NoNumber", "\x1f3. A", "\x003. A", "\xa03. A", "٣. A", "123", " 42 ", "3\x00 . A"],
 )
 def test_edge_rejected(lines_df, value):
     assert parse_one(lines_df, value) is None

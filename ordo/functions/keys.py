@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordo.functions.lines import _col, number_of_valid, text_slice
+from ordo.functions.lines import _col, number_of_valid, parse_number, text_slice
 
 ORDERS = ("ordinal", "utf8")
 
@@ -86,10 +86,15 @@ def key_names(order: str = "ordinal") -> list[str]:
     return [TKEY, TKEY2] if order == "ordinal" else [TKEY]
 
 
-def bind_keys(df: DataFrame, line: str = "line", order: str = "ordinal") -> DataFrame:
+def bind_keys(df: DataFrame, line: str = "line", order: str = "ordinal",
+              guarded: bool = False) -> DataFrame:
     """Project the sort keys of ``line`` as columns, so a sort evaluates them
-    once per row instead of once per comparison."""
+    once per row instead of once per comparison. ``guarded`` binds the
+    number through the full guard (null for a line that does not parse), for
+    lines not yet validated."""
     keys = key_columns_of_line(line, order)
+    if guarded:
+        keys[-2] = parse_number(line)
     names = key_names(order) + [NKEY]
     return df.select("*", *[k.alias(n) for k, n in zip(keys, names)])
 

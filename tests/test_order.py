@@ -130,3 +130,13 @@ def test_binary_text_key_orders_like_utf16(spark, texts):
     for a, ka in keys:
         for b, kb in keys:
             assert sign(ka, kb) == sign(a.encode("utf-16-be"), b.encode("utf-16-be")), (a, b)
+
+
+def test_guard_runs_once_after_the_exchange(lines_df):
+    from ordo.functions.lines import NUMBER_GUARD
+
+    out = sort_lines(lines_df(["1. a", "x. b", "2. c"]), "value", partitions=2, lead=False)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(NUMBER_GUARD) == 1
+    assert plan.index("CollectMetrics") < plan.index(NUMBER_GUARD) < plan.index("Exchange rangepartitioning")
+    assert sorted(r["line"] for r in out.collect()) == ["1. a", "2. c"]

@@ -32,6 +32,7 @@ from ordo.operators.sort import top_lines  # noqa: E402
 from ordo.operators.validate import check_sorted, sorted_summary  # noqa: E402
 from ordo.plans.catalog import document_lines, lineitem_lines  # noqa: E402
 from ordo.plans.sort_file import generate_file, merge_files, sort_file, split_and_sort  # noqa: E402
+from ordo.session import shared_dir  # noqa: E402
 from ordo.sources.text import read_lines, write_lines  # noqa: E402
 
 
@@ -52,10 +53,10 @@ def main() -> None:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.files.openCostInBytes", str(256 * 1024))
-        .config("spark.checkpoint.dir", os.path.join(work, "checkpoints"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    shared_dir(spark)  # spark.checkpoint.dir from the session; a local folder only if unset
 
     # ---- setup (untimed): input text files
     li_txt = os.path.join(work, "lineitem.txt")

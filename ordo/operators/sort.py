@@ -158,12 +158,19 @@ def sorted_runs(df: DataFrame, line: str = "line", order: str = "ordinal", valid
 
     A run is one input split: its size is bounded by
     ``spark.sql.files.maxPartitionBytes`` when ``df`` is a file scan. Returns
-    ``run_id, line``, each run sorted; ``run_id`` is taken before the sort."""
-    lines = _only_valid(df, line, validate).select(
-        F.spark_partition_id().alias("run_id"), "line"
-    )
+    ``run_id, line``, each run sorted; ``run_id`` is taken before the sort.
+    As in ``sort_lines``, the guard is the number key, evaluated once per row
+    (the ``observe`` keeps Catalyst from copying it into a filter below the
+    key projection)."""
+    lines = df.select(F.spark_partition_id().alias("run_id"), F.col(line).alias("line"))
+    if validate:
+        lines = lines.where(F.instr("line", ".") > 0)
     plan = lead_plan(lines, order) if lead else None
-    return sort_within(lines, order, plan=plan).select("run_id", "line")
+    if not validate:
+        return sort_within(lines, order, plan=plan).select("run_id", "line")
+    bound = bind_keys(lines, "line", order, guarded=True)
+    bound = bound.observe(f"ordo_runs_{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows_with_dot"))
+    return _sort_bound(bound.where(F.col(NKEY).isNotNull()), order, plan=plan).select("run_id", "line")
 
 
 def merge_runs(runs: DataFrame, line: str = "line", order: str = "ordinal",

@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ordo.llm import bpe
 from ordo.llm.line_dedup import dedup_lines
 from ordo.llm.mixing import plan_mix
+from ordo.llm.quality_rules import judge_texts
+from ordo.llm.secret_scan import scan_secrets, span_digest
 from ordo.llm.tables import table
 
+VOCABULARY = "word_bpe_49k.json"
+
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boilerplate lines (on 10 or more sources) removed from every document."""
@@ -17,6 +24,30 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id AS doc_id", "n_lines", "n_removed", "clean_text AS text")
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """Token ids of every document and their decoded text, as digests."""
+    path = vocabulary or public_tokenizers.path(VOCABULARY)
+    return bpe.digests(bpe.encode_texts(table(spark, sf_dir, "documents"), path)).withColumnRenamed("id", "doc_id")
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of every document and the verdict of the voting rules."""
+    return judge_texts(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "posterior")
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, counted and digested."""
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    kinds = {"n_assign": "assign", "n_access": "access", "n_hex": "hex"}
+    base = F.filter("spans", lambda s: s["kind"].isin(*kinds.values()))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as bigint)").alias(n) for n, k in kinds.items()],
+        F.sha2(span_digest(base), 256).alias("base_sha256"), span_digest(F.col("spans")).alias("spans"))
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all sources: words taken of every document."""
     return plan_mix(table(spark, sf_dir, "documents")).selectExpr(
@@ -25,6 +56,9 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
+    "op4_bpe": op4_bpe,
+    "op5_quality_rules": op5_quality_rules,
+    "op8_secret_scan": op8_secret_scan,
     "op9_source_mix": op9_source_mix,
 }
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ordo.llm import bpe
 from ordo.llm.line_dedup import dedup_lines
+from ordo.llm.minhash_dedup import near_duplicates
 from ordo.llm.mixing import plan_mix
 from ordo.llm.quality_rules import judge_texts
 from ordo.llm.secret_scan import scan_secrets, span_digest
@@ -18,6 +19,12 @@ from ordo.llm.tables import table
 VOCABULARY = "word_bpe_49k.json"
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents (4-word shingles, similarity 0.8)."""
+    found = near_duplicates(table(spark, sf_dir, "documents"), k=4)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boilerplate lines (on 10 or more sources) removed from every document."""
     return dedup_lines(table(spark, sf_dir, "documents")).selectExpr(
@@ -55,6 +62,7 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op2_line_dedup": op2_line_dedup,
     "op4_bpe": op4_bpe,
     "op5_quality_rules": op5_quality_rules,

@@ -12,6 +12,7 @@ from ordo.llm import bpe
 from ordo.llm.line_dedup import dedup_lines
 from ordo.llm.minhash_dedup import near_duplicates
 from ordo.llm.mixing import plan_mix
+from ordo.llm.quality_mil import score_quality
 from ordo.llm.quality_rules import judge_texts
 from ordo.llm.secret_scan import scan_secrets, span_digest
 from ordo.llm.tables import table
@@ -31,6 +32,12 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id AS doc_id", "n_lines", "n_removed", "clean_text AS text")
 
 
+def op3_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return score_quality(docs, labels).withColumnRenamed("id", "doc_id")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     """Token ids of every document and their decoded text, as digests."""
     path = vocabulary or public_tokenizers.path(VOCABULARY)
@@ -64,6 +71,7 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_line_dedup": op2_line_dedup,
+    "op3_quality_mil": op3_quality_mil,
     "op4_bpe": op4_bpe,
     "op5_quality_rules": op5_quality_rules,
     "op8_secret_scan": op8_secret_scan,

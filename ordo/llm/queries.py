@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordo.llm import bpe
+from ordo.llm.ann import nearest
 from ordo.llm.line_dedup import dedup_lines
 from ordo.llm.minhash_dedup import near_duplicates
 from ordo.llm.mixing import plan_mix
@@ -68,6 +69,12 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "size * copies AS taken")
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every vector whose id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -76,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
     "op8_secret_scan": op8_secret_scan,
     "op9_source_mix": op9_source_mix,
+    "op10_nearest": op10_nearest,
 }
 
 _DISTINCT_LINES = """

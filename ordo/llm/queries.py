@@ -16,6 +16,7 @@ from ordo.llm.mixing import plan_mix
 from ordo.llm.quality_mil import score_quality
 from ordo.llm.quality_rules import judge_texts
 from ordo.llm.secret_scan import scan_secrets, span_digest
+from ordo.llm.substring_dedup import dedup_substrings
 from ordo.llm.tables import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -52,6 +53,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "posterior")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 200-byte strings that occur twice."""
+    found = dedup_substrings(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", gone.alias("n_removed"),
+                        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document, counted and digested."""
     found = scan_secrets(table(spark, sf_dir, "documents"))
@@ -81,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_mil": op3_quality_mil,
     "op4_bpe": op4_bpe,
     "op5_quality_rules": op5_quality_rules,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_secret_scan": op8_secret_scan,
     "op9_source_mix": op9_source_mix,
     "op10_nearest": op10_nearest,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ordo.llm import bpe
 from ordo.llm.ann import nearest
+from ordo.llm.html_extract import extract_main_text
 from ordo.llm.line_dedup import dedup_lines
 from ordo.llm.minhash_dedup import near_duplicates
 from ordo.llm.mixing import plan_mix
@@ -53,6 +54,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "posterior")
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = extract_main_text(table(spark, sf_dir, "pages"))
+    return found.select("row.page_id", "row.url", F.col("main_text").alias("text"),
+                        F.length("main_text").cast("long").alias("n_chars"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the 200-byte strings that occur twice."""
     found = dedup_substrings(table(spark, sf_dir, "documents"))
@@ -90,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_mil": op3_quality_mil,
     "op4_bpe": op4_bpe,
     "op5_quality_rules": op5_quality_rules,
+    "op6_html_extract": op6_html_extract,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_secret_scan": op8_secret_scan,
     "op9_source_mix": op9_source_mix,

@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordo.llm.dom import FEATURES, Page, attribute_votes, decode, features
+from ordo.llm.dom import Page, attribute_votes, decode, features
+from ordo.llm.tables import ship
 
 FIT_PAGES = 250
 FIT_BYTES = 65536
@@ -293,4 +294,4 @@ def extract_main_text(pages: DataFrame, html: str = "html", fit_pages: int = FIT
                 texts = extract_text(trees, part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], ["row", "main_text"])
 
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, main_text string")
+    return ship(rows).mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, main_text string")

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import BinaryType, DoubleType
 
+from ordo.llm.tables import ship
 from ordo.llm.words import IS_SPACE, blocks, mix, span_hashes, window_hashes, word_bounds
 
 PASSAGE_WORDS = 64
@@ -181,6 +182,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 
     Rows without an id, a label or a text are not learnt from; an id with two
     labels counts with the smaller one."""
+    ship(docs)
     known = labels.select(F.col(id_col).cast("bigint").alias("id"), F.col(label).cast("int").alias("y"))
     known = known.filter("id is not null and y in (0, 1)").groupBy("id").agg(F.min("y").alias("y"))
     texts = docs.filter(~held_out(id_col)).select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("text"))

@@ -14,11 +14,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordo.llm.tables import materialize
+from ordo.llm.tables import materialize, ship
 from ordo.llm.words import IS_SPACE, blocks, mix, span_hashes, window_hashes, word_bounds
 
 KEEP_POSTERIOR = 0.5
@@ -167,7 +166,7 @@ def measure_texts(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -
     """``id`` and MEASURES of every whole text, one row per input row."""
     src = docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("text"))
     kind = src.schema["id"].dataType.simpleString()
-    return src.mapInArrow(_measure, f"id {kind}, " + ", ".join(f"{c} bigint" for c in MEASURES))
+    return ship(src).mapInArrow(_measure, f"id {kind}, " + ", ".join(f"{c} bigint" for c in MEASURES))
 
 
 def fit_votes(votes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:

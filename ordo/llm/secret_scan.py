@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ordo.llm.tables import ship
+
 # The base kinds in the order in which they are listed, then those the method adds.
 KINDS = ("assign", "access", "hex", "github", "npm", "jwt", "private_key", "slack", "google")
 
@@ -126,7 +128,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     and an empty table need no care."""
     src = docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("text"))
     kind = src.schema["id"].dataType.simpleString()
-    return src.mapInArrow(_scan, f"id {kind}, spans array<struct<kind:string,start:bigint,end:bigint>>")
+    return ship(src).mapInArrow(_scan, f"id {kind}, spans array<struct<kind:string,start:bigint,end:bigint>>")
 
 
 def span_digest(spans):

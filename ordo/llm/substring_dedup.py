@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordo.llm.tables import materialize
+from ordo.llm.tables import materialize, ship
 from ordo.llm.words import BYTE_VALUE, _power_tables, blocks, mix, text_buffers
 
 LENGTH = 200                 # a string this long that starts twice is removed
@@ -174,7 +174,7 @@ _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """``k1, k2, spans`` (array of start, end in bytes, overlapping) for the
     texts (``k1, k2, text``) that have repeated strings."""
-    runs = materialize(texts.mapInArrow(
+    runs = materialize(ship(texts).mapInArrow(
         _runs, "k1 bigint, k2 bigint, x int, first int, last int, bucket bigint, name bigint"), "runs")
     # level 0
     shared = runs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import DataFrame, SparkSession
 
+import ordo
 from ordo.session import scratch_path
 
+_shipped: set[str] = set()
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -18,3 +25,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship(df: DataFrame) -> DataFrame:
+    """Send this package to the executors, once per application, so that Python
+    workers need no installed copy; returns ``df``. Spark copies the archive."""
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _shipped:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(ordo.__file__)))
+        archive = os.path.join(tempfile.mkdtemp(prefix="ordo-code-"), "ordo_code.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for folder, _, names in os.walk(os.path.join(root, "ordo")):
+                for name in names:
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        z.write(path, os.path.relpath(path, root))
+        sc.addPyFile(archive)
+        _shipped.add(sc.applicationId)
+    return df

@@ -1,0 +1,92 @@
+"""The pipeline's stages, each against a plain version on its own input."""
+
+import hashlib
+
+import public_tokenizers
+import pytest
+from plain import CLASHING, links_brute, prose
+from test_lines_and_mix import plain_dedup
+from test_minhash import plain_components
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from ordo.llm.mixing import plan_mix
+
+STAGES = dict(corpus_pipeline.STAGES)
+
+
+@pytest.fixture(scope="module")
+def corpus(make_docs, spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("corpus"))
+    rows, labels = [], []
+    for i in range(120):
+        text = prose(i, 60 + i)
+        if i % 6 == 0:
+            text = " | ".join(w.upper() + "!!" for w in text.split())
+        elif i % 4 == 0:
+            text = text.split("\n")
+            text = "\n".join([text[0], "Subscribe to our newsletter."] + text[1:])
+        rows.append((i, text, f"s{i % 15}"))
+        labels.append((i, 0 if i % 6 == 0 else 1, 0))
+    for i in range(10):  # copies, exact and near
+        words = rows[1 + 12 * i][1].split(" ")
+        if i % 2:
+            words[3] = "changed"
+        rows.append((500 + i, " ".join(words), "s3"))
+    make_docs(rows).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return folder, rows
+
+
+def test_stages_in_order():
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near_dups", "mix", "tokens"]
+
+
+def test_pipeline(corpus, spark):
+    folder, rows = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    read = lambda df: [(r["doc_id"], r["text"], r["source"]) for r in df.collect()]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = read(docs)
+        docs = stage(spark, docs, folder).persist()
+        after = read(docs)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *CLASHING]
+        if name == "quality":
+            assert {d for d, _, _ in after} == {d for d, _, _ in rows if d >= 500 or d % 6}
+        elif name == "lines":
+            assert sorted((d, t) for d, t, _ in after) == sorted((d, t) for d, _, _, t in plain_dedup(before, 10))
+        elif name == "near_dups":
+            low = plain_components([d for d, _, _ in before], links_brute({d: t for d, t, _ in before}, 5))
+            assert {d for d, _, _ in after} == set(low.values()) and len(after) < len(before)
+        elif name == "mix":
+            uses = {r["doc_id"]: r["copies"] for r in plan_mix(spark.createDataFrame(before, "doc_id bigint, text string, source string")).collect()}
+            assert sorted(d for d, _, _ in after) == sorted(d for d, n in uses.items() for _ in range(n))
+    lib = Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.VOCABULARY))
+    want = sorted((d, hashlib.sha256(" ".join(map(str, lib.encode(t, add_special_tokens=False).ids)).encode()).hexdigest())
+                  for d, t, _ in read(docs))
+    last = STAGES["tokens"](spark, docs, folder)
+    assert sorted((r["doc_id"], r["ids_sha256"]) for r in last.collect()) == want
+    whole = corpus_pipeline.run(spark, folder)
+    assert whole.columns == last.columns and sorted((r["doc_id"], r["ids_sha256"]) for r in whole.collect()) == want
+
+
+@pytest.mark.parametrize("name", list(STAGES))
+def test_stages_messy_and_empty(name, messy, make_docs, corpus, spark):
+    folder, _ = corpus
+    docs, rows = messy
+    out = STAGES[name](spark, docs, folder)
+    n = out.count()
+    assert n <= 2 * len(rows)
+    if name in ("lines", "tokens"):
+        assert n == len(rows)
+    if name != "tokens":
+        assert out.columns == docs.columns
+    assert STAGES[name](spark, make_docs([]), folder).count() == 0
+
+
+def test_queries_are_registered(spark):
+    import __spark_entry__ as entry
+
+    names = set(entry.queries())
+    assert {f"op{n}_" for n in range(1, 11)} == {q[:q.index("_") + 1] for q in names if q.startswith("op") and q[2].isdigit()}
+    assert "pipeline" in names and {"op2_line_dedup", "op9_source_mix"} <= set(entry.oracle_sql())

@@ -49,6 +49,7 @@ GROUPS = {g: i for i, names in enumerate((
     "footer", "form fieldset legend input", "blockquote pre figure figcaption table tr td th tbody thead", "#text"))
     for g in names.split()}
 FEATURES = len(set(GROUPS.values())) + 26
+_OPEN = re.compile(r"<[a-zA-Z/!?]")  # a tag that the page ends in
 _SENTENCE = re.compile(r"[.!?,;](?=\s|$)")
 
 
@@ -96,7 +97,7 @@ class Page:
 
         while at < size:
             m = _TOKEN.search(source, at)
-            piece = source[at:m.start() if m else size]
+            piece = source[at:m.start()] if m else _OPEN.split(source[at:], maxsplit=1)[0]
             if piece and not head:
                 if "&" in piece:
                     piece = html.unescape(piece)

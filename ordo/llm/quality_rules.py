@@ -25,7 +25,7 @@ WINDOW = 5             # words in a window for repeated passages
 EM_ROUNDS = 50
 PRIOR_GOOD = 0.8       # start of the share of good documents
 PRIOR_ACCURACY = 0.8   # accuracy of the pseudo-votes
-PRIOR_VOTES = 20.0     # pseudo-votes per rule and class
+PRIOR_VOTES = 5.0      # pseudo-votes per rule and class
 
 # Frequent function words of English, French, Spanish, German.
 FUNCTION_WORDS = (

@@ -4,8 +4,8 @@ rows to one task (no unpartitioned ``row_number``).
 A sorted result is a sequence of ordered partitions (or ordered file splits).
 Count rows per partition (one small row each), prefix-sum those counts over
 the small table, and add each partition's offset to the row's index within
-the partition. Only the per-partition table is broadcast; its size is the
-partition count, which is checked, not the data size.
+the partition. The per-partition table is small (one row per partition); Spark
+broadcasts it if its size allows.
 
 The counts and the rows must come from the same execution: range bounds are
 sampled, so two runs of one sort may cut at different places. Hence the
@@ -20,10 +20,6 @@ from pyspark.sql import functions as F
 
 from ordo.session import shared_dir
 
-# Upper bound on rows of the per-partition offset table that is broadcast;
-# above it the join is a regular (shuffled) join.
-BROADCAST_MAX_GROUPS = 2_000_000
-_ROW_MASK = (1 << 33) - 1  # monotonically_increasing_id: partition << 33 | row
 
 
 def _attach_offsets(df: DataFrame, group_cols: list[str], row_col: str, order_by=None) -> DataFrame:
@@ -35,9 +31,7 @@ def _attach_offsets(df: DataFrame, group_cols: list[str], row_col: str, order_by
     w = Window.orderBy(*(order_by or group_cols)).rowsBetween(Window.unboundedPreceding, -1)
     offsets = groups.select(
         *group_cols, "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset")
-    ).checkpoint(eager=True)
-    if offsets.count() <= BROADCAST_MAX_GROUPS:
-        offsets = F.broadcast(offsets)
+    ).checkpoint(eager=True)  # a checkpointed table has a known size: Spark chooses the join
     return df.join(offsets, group_cols).withColumn(
         "pos", F.col("_offset") + (F.col(row_col) - F.col("_first")) + F.lit(1)
     ).drop("_offset", "_first")
@@ -61,11 +55,11 @@ def with_position(sorted_df: DataFrame, name: str = "pos") -> DataFrame:
 def position_in_files(ordered: DataFrame, name: str = "pos") -> DataFrame:
     """Add ``pos`` to a scan carrying the order columns of
     ``sources.text.with_scan_order`` (sorted output read back from files)."""
-    from ordo.sources.text import file_order
+    from ordo.sources.text import path_order
 
     shared_dir(ordered.sparkSession)
     out = _attach_offsets(
-        ordered, ["file_name", "block_start"], "row_in_split",
-        order_by=file_order("file_name") + [F.col("block_start")],
+        ordered, ["file_path", "block_start"], "row_in_split",
+        order_by=path_order() + [F.col("block_start")],
     )
     return out.withColumnRenamed("pos", name) if name != "pos" else out

@@ -112,9 +112,10 @@ def _file_names(spark: SparkSession, paths) -> DataFrame:
     binary-file source reads no content when ``content`` is not selected)."""
     from ordo.sources.text import _paths
 
-    listing = spark.read.format("binaryFile").load(_paths(paths)).select("path")
+    # the hash must be of the same spelling as the text scan's: both take the metadata column
+    listing = spark.read.format("binaryFile").load(_paths(paths))
     return listing.select(
-        F.xxhash64("path").alias("file_id"), F.element_at(F.split("path", "/"), -1).alias("file_name")
+        F.xxhash64("_metadata.file_path").alias("file_id"), F.col("_metadata.file_name").alias("file_name")
     )
 
 
@@ -139,7 +140,7 @@ def check_sorted(spark: SparkSession, paths, order: str = "ordinal") -> DataFram
         (F.sum("violations") + F.sum("boundary_bad")).alias("violations"),
         F.min(F.struct("block_start", _key("first").alias("k")))["k"].alias("first_key"),
         F.max(F.struct("block_start", _key("last").alias("k")))["k"].alias("last_key"),
-    ).join(_file_names(spark, paths), "file_id")
+    ).join(_file_names(spark, paths), "file_id", "left")  # a summary without a name stays, and fails the check
     w_file = Window.orderBy(*file_order("file_name"))
     return files.select(
         "file_name", file_index("file_name").alias("file_index"), "n", "violations",
@@ -148,12 +149,16 @@ def check_sorted(spark: SparkSession, paths, order: str = "ordinal") -> DataFram
 
 
 def sorted_summary(checked: DataFrame) -> DataFrame:
-    """One row: ``files, n, violations, total_order`` over ``check_sorted``."""
+    """One row: ``files, n, violations, total_order`` over ``check_sorted``.
+
+    ``total_order`` is true only if at least one file was read, every file is
+    known by name, no file has a violation and each follows the one before."""
     return checked.agg(
         F.count(F.lit(1)).alias("files"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
         F.coalesce(F.sum("violations"), F.lit(0)).alias("violations"),
-        F.coalesce(F.bool_and("follows_previous"), F.lit(True)).alias("total_order"),
+        F.coalesce(F.bool_and(F.col("follows_previous") & (F.col("violations") == 0) & F.col("file_name").isNotNull()),
+                   F.lit(False)).alias("total_order"),
     )
 
 

@@ -43,15 +43,20 @@ def input_bytes(spark: SparkSession, paths: str | Iterable[str]) -> int:
     return int(total)
 
 
-def read_lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
-    """``value string``, one row per line of every file."""
-    return spark.read.text(_paths(paths))
+def read_lines(spark: SparkSession, paths: str | Iterable[str], replace_invalid: bool = False) -> DataFrame:
+    """``value string``, one row per line of every file.
+
+    ``replace_invalid`` turns bytes that are not UTF-8 into U+FFFD; otherwise
+    such bytes pass through unchanged."""
+    lines = spark.read.text(_paths(paths))
+    return lines.select(F.make_valid_utf8("value").alias("value")) if replace_invalid else lines
 
 
 def read_runs(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
-    """``run string, value string``; ``run`` is the file name of the run."""
+    """``run string, value string``; ``run`` is the full path of the run
+    file, so runs of the same name in several folders stay apart."""
     return spark.read.text(_paths(paths)).select(
-        F.col("_metadata.file_name").alias("run"), "value"
+        F.col("_metadata.file_path").alias("run"), "value"
     )
 
 
@@ -77,22 +82,37 @@ def file_order(file_name: str = "file_name") -> list:
     return [F.coalesce(file_index(file_name), F.lit(-1)), F.col(file_name)]
 
 
+def path_order(file_path: str = "file_path") -> list:
+    """The same for full paths; files of one name in several folders follow by path."""
+    name = F.element_at(F.split(F.col(file_path), "/"), -1)
+    index = F.regexp_extract(name, PART_NUMBER, 1).try_cast("bigint")
+    return [F.coalesce(index, F.lit(-1)), name, F.col(file_path)]
+
+
 def with_scan_order(df: DataFrame) -> DataFrame:
-    """Add the columns that give a text scan its file order: ``file_name``,
+    """Add the columns that give a text scan its file order: ``file_path``,
     ``block_start`` (split offset) and ``row_in_split``.
 
     ``row_in_split`` is ``monotonically_increasing_id()`` taken directly on the
     scan: increasing within a split, and the same on every re-execution
     because a scan plans the same splits for the same files. Files are put in
-    order by ``file_order`` on the (small) per-split table."""
+    order by ``path_order`` on the (small) per-split table."""
     return df.select(
         "*",
-        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("row_in_split"),
     )
 
 
 def read_in_file_order(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
-    """``value`` plus the order columns ``file_name, block_start, row_in_split``."""
+    """``value`` plus the order columns ``file_path, block_start, row_in_split``."""
     return with_scan_order(spark.read.text(_paths(paths)))
+
+
+def head_of_output(spark: SparkSession, path: str, n: int = 10) -> DataFrame:
+    """The first ``n`` lines of a written result, in file order: ``value``.
+
+    One ``TakeOrdered`` over (file, split, row); nothing is sorted as a whole."""
+    return read_in_file_order(spark, path).orderBy(
+        *path_order(), "block_start", "row_in_split").limit(n).select("value")

@@ -11,9 +11,9 @@ from ordo.sources.text import read_in_file_order, read_lines, read_runs, write_l
 
 
 def valid_in_file_order(spark, path):
-    from ordo.sources.text import file_order
+    from ordo.sources.text import path_order
 
-    scan = read_in_file_order(spark, path).orderBy(*file_order(), "block_start", "row_in_split")
+    scan = read_in_file_order(spark, path).orderBy(*path_order(), "block_start", "row_in_split")
     return [(r["number"], r["text"]) for r in parse_lines(scan).collect()]
 
 
@@ -62,7 +62,7 @@ def test_bytes_bom_line_ends_bad_utf8(spark, text_file):
 def test_run_scan_keeps_run_name(spark, text_file):
     a = text_file(["1. a"], "run_a.txt")
     b = text_file(["2. b", "junk"], "run_b.txt")
-    runs = {(r["run"], r["value"]) for r in read_runs(spark, [a, b]).collect()}
+    runs = {(r["run"].rsplit("/", 1)[1], r["value"]) for r in read_runs(spark, [a, b]).collect()}
     assert runs == {("run_a.txt", "1. a"), ("run_b.txt", "2. b"), ("run_b.txt", "junk")}
 
 

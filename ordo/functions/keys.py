@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordo.functions.lines import _col, number_of_valid, parse_number, text_slice
+from ordo.functions.lines import _col, delimiter_pos, number_of_valid, parse_number, text_slice
 
 ORDERS = ("ordinal", "utf8")
 
@@ -82,6 +82,19 @@ def key_columns_of_line(line: Column | str, order: str = "ordinal") -> list[Colu
     return text_keys(text_slice(v), order) + [number_of_valid(v), v]
 
 
+def range_keys_of_line(line: Column | str, order: str = "ordinal") -> list[Column]:
+    """A shorter key with the order of the full one: the line itself gives way to
+    its head up to the character after the dot.
+
+    Lines with equal texts and numbers differ only there: in the number's
+    spelling, whose first difference lies at or before the dot, and in whether a
+    space follows the dot (a text never begins with the space that was dropped,
+    so the next character decides). Sampled range keys then hold a text once."""
+    v = _col(line)
+    head = F.substring(v, F.lit(1), delimiter_pos(v) + 1)
+    return text_keys(text_slice(v), order) + [number_of_valid(v), head]
+
+
 def key_names(order: str = "ordinal") -> list[str]:
     return [TKEY, TKEY2] if order == "ordinal" else [TKEY]
 

@@ -24,17 +24,21 @@ settles a comparison, never the order.
 
 from __future__ import annotations
 
+import sys
 from collections import Counter
 from dataclasses import dataclass
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_TEXTS = 64
-SAMPLE_ROWS = 10_000
-SAMPLE_FRACTION = 0.1
-MIN_SHARE = 0.002  # a text must hold at least this share of the sample
-MAX_TEXT_BYTES = 256  # longer texts stay out of the literals of the CASE tree
+# Ship the sampling function to Python workers by value: executors need no installed copy.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+MAX_TEXTS = 64          # dictionary size
+ROWS_PER_SPLIT = 256    # rows sampled from the start of every input split
+MIN_SHARE = 0.002       # a text must hold at least this share of the sample
+MAX_TEXT_BYTES = 256    # longer texts stay out of the literals of the CASE tree
 _Q_BITS = 47
 _SLOT_SHIFT = 48
 
@@ -47,33 +51,55 @@ class LeadPlan:
     shift: int
 
 
+def plan_from_counts(counts: list[tuple[str, int]], total: int, lo: int, hi: int,
+                     max_texts: int = MAX_TEXTS, min_share: float = MIN_SHARE) -> LeadPlan | None:
+    """The plan for ``(text key, rows)`` of a sample of ``total`` rows with
+    numbers from ``lo`` to ``hi``."""
+    need = max(2, int(min_share * total))
+    frequent = sorted((c for c in counts if c[1] >= need), key=lambda c: (-c[1], c[0]))[:max_texts]
+    if not frequent:
+        return None
+    shift = max(0, (hi - lo).bit_length() - _Q_BITS)
+    return LeadPlan(tuple(sorted((k for k, _ in frequent), key=lambda s: s.encode("utf-8"))), lo, hi, shift)
+
+
 def plan_from_sample(rows: list[tuple[str, int]]) -> LeadPlan | None:
-    """Pick frequent text keys and the number range from ``(text_key, number)``
-    sample rows (text keys of rows that need the UTF-16 tie key are excluded)."""
+    """The plan for plain ``(text_key, number)`` rows (text keys of rows that need
+    the UTF-16 tie key are excluded by the caller)."""
     if not rows:
         return None
     counts = Counter(k for k, _ in rows if len(k.encode("utf-8")) <= MAX_TEXT_BYTES)
-    need = max(2, int(MIN_SHARE * len(rows)))
-    frequent = [k for k, c in counts.most_common(MAX_TEXTS) if c >= need]
-    if not frequent:
-        return None
     nums = [n for _, n in rows]
-    lo, hi = min(nums), max(nums)
-    shift = max(0, (hi - lo).bit_length() - _Q_BITS)
-    return LeadPlan(tuple(sorted(frequent, key=lambda s: s.encode("utf-8"))), lo, hi, shift)
-
-
-def sample_plan(lines: DataFrame, text_key: Column, number: Column, plain: Column) -> LeadPlan | None:
-    """Sample a few thousand valid rows (``limit`` reads only as many input
-    partitions as it needs) and build the plan on the driver."""
-    sample = (
-        lines.sample(SAMPLE_FRACTION, seed=17)
-        .select(text_key.alias("k"), number.alias("n"), plain.alias("p"))
-        .where(F.col("n").isNotNull() & F.col("p"))
-        .limit(SAMPLE_ROWS)
-        .collect()
-    )
-    return plan_from_sample([(r["k"], r["n"]) for r in sample])
+    return plan_from_counts(list(counts.items()), len(rows), min(nums), max(nums))
+
+
+def _first_rows(n: int):
+    def run(batches):
+        left = n
+        for batch in batches:
+            yield batch.slice(0, left)
+            left -= batch.num_rows
+            if left <= 0:
+                return  # the rest of the split is not read
+    return run
+
+
+def sample_plan(lines: DataFrame, text_key: Column, number: Column, plain: Column, max_texts: int = MAX_TEXTS,
+                rows_per_split: int = ROWS_PER_SPLIT) -> LeadPlan | None:
+    """Build the plan from the first rows of every input split, so input that is
+    grouped by text is covered as a whole. Spark counts; the driver receives at
+    most ``max_texts`` texts of at most MAX_TEXT_BYTES."""
+    keyed = lines.select(text_key.alias("k"), number.alias("n"), plain.alias("p")).where(
+        F.col("n").isNotNull() & F.col("p") & (F.octet_length("k") <= MAX_TEXT_BYTES)).select("k", "n")
+    sample = keyed.mapInArrow(_first_rows(rows_per_split), "k string, n bigint")
+    counts = sample.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+    top = counts.orderBy(F.desc("c"), "k").limit(max_texts)
+    rows = top.agg(F.collect_list(F.struct("k", "c")).alias("top"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()
+    if not rows["top"]:
+        return None
+    # a share of the frequent rows is a smaller total than all sampled rows: the dictionary may only grow
+    total = sum(r["c"] for r in rows["top"])
+    return plan_from_counts([(r["k"], r["c"]) for r in rows["top"]], total, rows["lo"], rows["hi"], max_texts)
 
 
 def _upper_bound(k: Column, texts: tuple[str, ...], lo: int, hi: int) -> Column:

@@ -10,8 +10,8 @@ Plan of a total sort (``sort_lines``)::
   the line after the exchange: carrying them instead nearly doubled the
   compressed shuffle (365 MB to 685 MB per 512 MB of lines, measured), and on
   a cluster the shuffle is the scarcer resource.
-* The range partitioner samples the whole key (text key, number, line, salt),
-  so ties on text are cut by number, and a single line repeated in bulk (one
+* The range partitioner samples the whole key (text key, number, head of the
+  line, salt; the text once), so ties on text are cut by number, and a single line repeated in bulk (one
   value may hold a third of all rows) is cut by the salt into groups of at
   most 65,536 rows: no range task gets more than its share plus one group.
   The salt is not a sort key: identical lines are interchangeable. It is a
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordo.functions.keys import (
-    NKEY, TKEY, TKEY2, bind_keys, bound_key_names, bound_order, key_columns_of_line,
+    NKEY, TKEY, TKEY2, bind_keys, bound_key_names, bound_order, key_columns_of_line, range_keys_of_line,
 )
 from ordo.functions.lines import number_of_valid, parse_number, text_slice
 from ordo.functions.prefix import LeadPlan, lead_key, sample_plan
@@ -63,7 +63,7 @@ def range_partition(
 
     ``partitions=None`` uses ``spark.sql.shuffle.partitions`` and lets AQE
     merge adjacent small ranges (which keeps the order)."""
-    keys: list[Column] = key_columns_of_line("line", order)
+    keys: list[Column] = range_keys_of_line("line", order)
     if salt:
         # Row position in blocks of 2^16 rows: every (line, salt) group has at
         # most 65,536 rows whatever the input partitioning, and the value stays
@@ -125,8 +125,8 @@ def sort_lines(
     the range sampling pass and once for the map pass (12% of the sort time
     on 512 MB, measured). Pass ``validate=False`` when the input is
     known to be valid (for example the output of ``parse_lines``).
-    ``lead`` samples a few thousand rows first (reading only the partitions
-    ``limit`` needs) to build the leading key; turn it off when ``df`` is
+    ``lead`` samples the first rows of every input split to build the leading
+    key; turn it off when ``df`` is
     expensive to start computing (for example the output of a join)."""
     lines = df.select(F.col(line).alias("line"))
     if validate:

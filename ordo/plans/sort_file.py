@@ -15,32 +15,35 @@ from __future__ import annotations
 import math
 import re
 import time
-from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ordo.functions.prefix import _first_rows
 from ordo.operators.profile import input_stats
 from ordo.operators.sort import sort_lines, sorted_runs
 from ordo.plans.report import append_report, run_report
+from ordo.session import derived_session
 from ordo.sources.generator import generate_sized
 from ordo.sources.text import input_bytes, read_lines, write_lines
 
-# Input bytes per sorted output partition when the count is not given: the
-# smaller of TARGET_PARTITION_BYTES and what one task's share of execution
-# memory can sort without spilling. Sorting keeps each row as an UnsafeRow plus
-# its keys and a pointer/prefix pair: measured 7x the input bytes for 26-byte
-# lines (peak execution memory 448 MB for a 64 MB partition), so 8x is used.
+# Sizes of a sort, all documented parameters without switches:
+# a sorted output partition holds at most TARGET_PARTITION_BYTES of input and at
+# most SPILLS + 1 times what one task's share of execution memory sorts without
+# spilling. Sorting keeps each row as an UnsafeRow plus its keys and a
+# pointer/prefix pair: measured 7x the input bytes for 26-byte lines (peak
+# execution memory 448 MB for a 64 MB partition), so 8x is used.
 TARGET_PARTITION_BYTES = 1 << 30
 SORT_EXPANSION = 8
-# Spark samples at most 10^6 keys for range bounds. Above 200,000 partitions a
-# bound would rest on fewer than 5 samples and partitions grow uneven, so the
-# count stops there and larger partitions spill (Spark merges the spills).
-MAX_RANGE_PARTITIONS = 200_000
-
-# Inputs below this size skip the sample for the leading sort key: there the
-# extra job costs more than the comparisons it saves.
-LEAD_MIN_BYTES = 64 << 20
+SPILLS = 1
+# A map task writes one block per range; input splits are made large enough that
+# a block holds this much, so a sort of many ranges does not drown in tiny reads.
+MIN_BLOCK_BYTES = 64 << 10
+# The range exchange sends sampled keys to the driver: at most this much of them.
+SAMPLE_BYTES = 64 << 20
+SAMPLE_PER_PARTITION = 100  # Spark's default; fewer where lines are long
+_OVERSAMPLE = 3             # Spark reads this many times the sample it wants
 
 _UNITS = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
@@ -68,49 +71,61 @@ def task_sort_memory(spark: SparkSession) -> int:
     return max(1 << 20, int(usable / max(1, slots)))
 
 
-def _sizing(spark: SparkSession, inputs, target_bytes: int, size: int | None = None) -> tuple[int, bool]:
-    """(range partitions, use the leading key) for sorting ``inputs``: enough
-    partitions that each sorts in memory and holds at most ``target_bytes`` of
-    input, at least one per core, at most MAX_RANGE_PARTITIONS."""
-    size = input_bytes(spark, inputs) if size is None else size
-    per_partition = max(1, min(target_bytes, task_sort_memory(spark) // SORT_EXPANSION))
-    n = max(1, math.ceil(size / per_partition), spark.sparkContext.defaultParallelism)
-    return min(n, max(MAX_RANGE_PARTITIONS, math.ceil(size / max(1, target_bytes)))), size >= LEAD_MIN_BYTES
-
-
-@contextmanager
-def _session_conf(spark: SparkSession, key: str, value: str | None):
-    """Set a session setting for the duration of one job, then restore it."""
-    if value is None:
-        yield
-        return
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+@dataclass(frozen=True)
+class SortSizes:
+    partitions: int           # ranges
+    split_bytes: int          # input bytes per map task, at most
+    sample_per_partition: int
+
+
+def sort_sizes(size: int, memory: int, cores: int, split_bytes: int, line_bytes: float = 64.0,
+               target_bytes: int = TARGET_PARTITION_BYTES, partitions: int | None = None) -> SortSizes:
+    """Sizes for sorting ``size`` bytes with ``memory`` bytes of execution memory
+    per task: ranges of at most ``target_bytes`` that spill at most SPILLS times
+    (one per core at least), input splits of ``split_bytes`` or as large as blocks
+    of MIN_BLOCK_BYTES ask, and a key sample of SAMPLE_BYTES at most."""
+    per_range = max(1, min(target_bytes, (SPILLS + 1) * memory // SORT_EXPANSION))
+    n = partitions or max(cores, math.ceil(size / per_range))
+    split = max(split_bytes, min(n * MIN_BLOCK_BYTES, size // cores))
+    sample = int(SAMPLE_BYTES / (_OVERSAMPLE * n * max(1.0, line_bytes)))
+    return SortSizes(n, split, max(1, min(SAMPLE_PER_PARTITION, sample)))
+
+
+def mean_line_bytes(spark: SparkSession, inputs, rows_per_split: int = 64) -> float:
+    """Mean bytes per line of the first rows of every input split."""
+    head = read_lines(spark, inputs).select(F.octet_length("value").alias("b")).mapInArrow(
+        _first_rows(rows_per_split), "b int")
+    return float(head.agg(F.coalesce(F.avg("b"), F.lit(0.0))).first()[0]) + 1
+
+
+def _sized_session(spark: SparkSession, inputs, target_bytes: int, size: int,
+                   partitions: int | None = None) -> tuple[SparkSession, SortSizes]:
+    """A session with the sizes of one sort (the caller's stays as it is)."""
+    split = _size_conf(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"), default_unit="")
+    sizes = sort_sizes(size, task_sort_memory(spark), spark.sparkContext.defaultParallelism, split,
+                       mean_line_bytes(spark, inputs), target_bytes, partitions)
+    return derived_session(spark, {
+        "spark.sql.files.maxPartitionBytes": str(sizes.split_bytes),
+        "spark.sql.execution.rangeExchange.sampleSizePerPartition": str(sizes.sample_per_partition)}), sizes
 
 
 def sort_file(spark: SparkSession, inputs, output_dir: str, order: str = "ordinal",
               partitions: int | None = None, label: str = "sort", report_path: str | None = None,
               with_stats: bool = False, line_sep: str | None = None,
-              compression: str | None = None,
+              compression: str | None = None, lead: bool = True,
               target_partition_bytes: int = TARGET_PARTITION_BYTES) -> DataFrame:
     """Sort the valid lines of ``inputs`` into ``output_dir``; return the A2 report.
 
-    ``partitions`` defaults to input size / ``target_partition_bytes`` (from
-    file-system metadata), so output partitions stay bounded at any scale.
+    ``partitions`` and the input split size follow from the input size (file-system
+    metadata) by ``sort_sizes``; ``lead`` builds the leading sort key. The plan is
+    the same at every size.
     Input bytes come from that metadata; ``rows_out`` is observed on the write.
     ``with_stats`` adds ``rows_in`` and ``rows_rejected``, which costs one more
     read of the input (null otherwise)."""
     t0 = time.perf_counter()
     size = input_bytes(spark, inputs)
-    n, lead = _sizing(spark, inputs, target_partition_bytes, size)
-    sorted_ = sort_lines(read_lines(spark, inputs), "value", order, partitions or n, lead=lead)
+    own, sizes = _sized_session(spark, inputs, target_partition_bytes, size, partitions)
+    sorted_ = sort_lines(read_lines(own, inputs), "value", order, sizes.partitions, lead=lead)
     obs = Observation(f"rows_out_{label}")
     write_lines(sorted_.observe(obs, F.count(F.lit(1)).alias("rows_out")), output_dir,
                 line_sep=line_sep, compression=compression)
@@ -127,7 +142,7 @@ def sort_file(spark: SparkSession, inputs, output_dir: str, order: str = "ordina
 
 
 def split_and_sort(spark: SparkSession, inputs, runs_dir: str, max_run_bytes: int | None = None,
-                   order: str = "ordinal") -> DataFrame:
+                   order: str = "ordinal", lead: bool = True) -> DataFrame:
     """Phase 1: write one sorted run file per input split (runs of at most
     ``max_run_bytes`` of input each). Returns ``run_id, n`` per run.
 
@@ -137,23 +152,20 @@ def split_and_sort(spark: SparkSession, inputs, runs_dir: str, max_run_bytes: in
     if max_run_bytes is None:
         split = _size_conf(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"), default_unit="")
         max_run_bytes = max(1 << 20, min(split, task_sort_memory(spark) // SORT_EXPANSION))
-    value = str(int(max_run_bytes))
-    with _session_conf(spark, "spark.sql.files.maxPartitionBytes", value):
-        lead = input_bytes(spark, inputs) >= LEAD_MIN_BYTES
-        runs = sorted_runs(read_lines(spark, inputs), "value", order, lead=lead)
-        write_lines(runs, runs_dir)
+    own = derived_session(spark, {"spark.sql.files.maxPartitionBytes": str(int(max_run_bytes))})
+    write_lines(sorted_runs(read_lines(own, inputs), "value", order, lead=lead), runs_dir)
     return spark.read.text(runs_dir).groupBy(
         F.col("_metadata.file_name").alias("run_id")
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
 def merge_files(spark: SparkSession, run_paths, output_dir: str, order: str = "ordinal",
-                partitions: int | None = None,
+                partitions: int | None = None, lead: bool = True,
                 target_partition_bytes: int = TARGET_PARTITION_BYTES) -> None:
     """Phase 2: merge run files (sorted or not, any number) into ``output_dir``."""
-    n, lead = _sizing(spark, run_paths, target_partition_bytes)
-    write_lines(sort_lines(read_lines(spark, run_paths), "value", order, partitions or n, lead=lead),
-                output_dir)
+    size = input_bytes(spark, run_paths)
+    own, sizes = _sized_session(spark, run_paths, target_partition_bytes, size, partitions)
+    write_lines(sort_lines(read_lines(own, run_paths), "value", order, sizes.partitions, lead=lead), output_dir)
 
 
 def generate_file(spark: SparkSession, path: str, size_bytes: int, seed: int = 42,

@@ -37,7 +37,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     Reads ``spark.checkpoint.dir`` from the session (or an already configured
-    SparkContext checkpoint folder); sets a local one only when neither exists.
+    SparkContext checkpoint folder). Where neither exists a local session gets a
+    temporary folder; on a cluster, whose machines would each write to their own
+    disk, it raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -47,6 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="ordo-checkpoint-")
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).removeprefix("file:")
@@ -55,3 +59,15 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-path of the shared folder for one written intermediate."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def derived_session(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session on the same context with the caller's runtime settings and
+    ``settings``: a job can have its own without changing its neighbours'."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    for key, value in settings.items():
+        own.conf.set(key, value)
+    return own

@@ -1,9 +1,11 @@
 """Partition sizing from file-system metadata and task memory."""
 
 import os
+import subprocess
+import sys
 
 from ordo.plans.sort_file import (
-    MAX_RANGE_PARTITIONS, SORT_EXPANSION, _size_conf, _sizing, task_sort_memory,
+    MIN_BLOCK_BYTES, SAMPLE_BYTES, SORT_EXPANSION, SPILLS, _size_conf, sort_file, sort_sizes, split_and_sort,
 )
 from ordo.sources.text import input_bytes
 
@@ -24,13 +26,56 @@ def test_input_bytes_from_metadata(spark, text_file, tmp_path):
     assert input_bytes(spark, str(tmp_path / "*.txt")) == os.path.getsize(a) + os.path.getsize(b)
 
 
-def test_partitions_fit_memory_and_stay_bounded(spark):
-    cores = spark.sparkContext.defaultParallelism
-    mem = task_sort_memory(spark)
-    n, lead = _sizing(spark, None, 1 << 30, 1 << 20)
-    assert n == cores and not lead
-    size = 64 * mem
-    n, lead = _sizing(spark, None, 1 << 30, size)
-    assert lead and n >= size * SORT_EXPANSION / mem
-    n, _ = _sizing(spark, None, 1 << 30, 100 << 40)
-    assert n == MAX_RANGE_PARTITIONS
+GB = 1 << 30
+
+
+def test_sizes_at_100_tb():
+    """Executors of 16 GB with 4 cores: 2.4 GB of execution memory per task."""
+    size, memory = 100 << 40, int(2.4 * GB)
+    s = sort_sizes(size, memory, 4000, 128 << 20, line_bytes=150)
+    maps = -(-size // s.split_bytes)
+    assert size / (maps * s.partitions) >= 0.99 * MIN_BLOCK_BYTES        # bytes per shuffle block
+    assert size / s.partitions * SORT_EXPANSION <= (SPILLS + 1) * memory  # spills per task
+    assert 3 * s.partitions * s.sample_per_partition * 150 <= 3 * SAMPLE_BYTES
+
+
+def test_sizes_are_smooth():
+    """No size at which the rule changes: partitions grow with the input."""
+    last = 0
+    for mb in (1, 10, 63, 64, 65, 1000, 10_000, 1_000_000):
+        s = sort_sizes(mb << 20, 2 * GB, 8, 128 << 20)
+        assert s.partitions >= last and s.split_bytes >= 128 << 20
+        last = s.partitions
+    assert sort_sizes(GB, 2 * GB, 8, 128 << 20, line_bytes=8000, partitions=8).sample_per_partition == 100
+    assert sort_sizes(GB, 2 * GB, 8, 128 << 20, line_bytes=10**6, partitions=1000).sample_per_partition == 1
+
+
+def test_jobs_leave_the_session_as_it_is(spark, text_file, tmp_path):
+    before = dict(spark.conf.getAll)
+    p = text_file(["2. b", "1. a"] * 50)
+    split_and_sort(spark, p, str(tmp_path / "runs"), max_run_bytes=64)
+    sort_file(spark, p, str(tmp_path / "out"))
+    assert dict(spark.conf.getAll) == before
+
+
+LONG_LINES = """
+import random, sys
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config("spark.driver.memory", "2g")
+         .config("spark.driver.maxResultSize", "24m").config("spark.checkpoint.dir", sys.argv[1] + "/ckpt").getOrCreate())
+from ordo.plans.sort_file import sort_file
+from ordo.operators.validate import check_sorted, sorted_summary
+lines = spark.range(40000, numPartitions=8).select(F.concat(F.col("id").cast("string"), F.lit(". "), F.rpad(
+    F.md5(F.col("id").cast("string")), 8000, "x")).alias("value"))
+lines.write.text(sys.argv[1] + "/in")
+sort_file(spark, sys.argv[1] + "/in", sys.argv[1] + "/out", partitions=8)
+r = sorted_summary(check_sorted(spark, sys.argv[1] + "/out")).first()
+assert r["n"] == 40000 and r["total_order"], r
+"""
+
+
+def test_long_lines_fit_the_driver(tmp_path):
+    """The sampled range keys of 8,000-character lines stay under a 24 MB result limit."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", LONG_LINES, str(tmp_path)], check=True, cwd=root, timeout=300)

@@ -72,11 +72,11 @@ def rows_for_size(spark: SparkSession, target_bytes: int, seed: int = 42,
     on disk (LF line ends). The file then overshoots by less than one line."""
     if target_bytes <= 0:
         return 0
-    parts = _partitions(spark, target_bytes, partitions)
     lo, need = 0, target_bytes
     span = int(math.ceil(target_bytes / MEAN_LINE_BYTES * 1.02)) + 1000
     while True:
         width = max(1, math.ceil(span / _NARROW_BLOCKS))
+        parts = _partitions(spark, span * MEAN_LINE_BYTES, partitions)  # of this pass, not of the whole target
         ids = spark.range(lo, lo + span, 1, parts if span > _FINAL_BLOCK_ROWS else 1)
         size = _bytes_on_disk(F.col("id"), _line(F.col("id"), seed), blank_every)
         if span <= _FINAL_BLOCK_ROWS:  # a few thousand small numbers

@@ -18,9 +18,10 @@ leftmost of equals), and equal windows have the same anchor at the same place.
            named by the identifiers of its first and last window, which cover
            it; runs that occur twice are repeated as a whole;
   level 2  what is left, with one representative of each repeated run of its
-           bucket, is cut into cells of 16 windows; a cell goes on only if the
-           185 bytes that its windows share occur twice;
-  level 3  windows, sorted by their identifier of depth 200.
+           bucket, is cut into cells of 16 windows, sorted into buckets by the
+           185 bytes that all windows of a cell share; cells that occur twice
+           are repeated as a whole, a bucket of one is done;
+  level 3  the windows of what is left again, by the bytes they add.
 Each level is a Spark grouping with map-side counts, so the bucket of a string
 on a third of all documents costs one row per map task. The rows shrink from
 about one per 88 bytes at level 0 to the surroundings of edits at level 3.
@@ -35,12 +36,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordo.llm.tables import materialize, ship
+from ordo.llm.tables import materialize, release, ship
 from ordo.llm.words import BYTE_VALUE, _power_tables, blocks, mix, text_buffers
 
 LENGTH = 200                 # a string this long that starts twice is removed
 GRAM = LENGTH // 8           # q: depth of the initial buckets
 CELL = 16                    # windows of a cell
+SHARED = LENGTH - CELL + 1   # bytes that all windows of a cell share
 BLOCK = 1 << 18              # bytes handled at once: keeps the arrays in cache
 _C = np.uint64(0xD1B54A32D192ED03)
 
@@ -121,33 +123,32 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each text with its open runs: cells with the name of what their
-    windows share and the identifiers of the windows."""
+    """For each text with its open runs: their cells. Windows ``start`` to
+    ``last`` of a cell share the bytes from ``p`` on, named ``shared``, and differ
+    in how many of the up to 15 bytes before (``left``) and after (``right``)
+    they add."""
+    names = ["k1", "k2", "shared", "start", "last", "p", "left", "right"]
     for batch in batches:
         for i in range(batch.num_rows):
             _, data = text_buffers(batch.column(2).slice(i, 1))
-            grams = gram_buckets(data)
-            fifty = refine(grams, GRAM)
-            hundred = refine(fifty, 2 * GRAM)
-            ids = refine(hundred, 4 * GRAM)
-            names = ["k1", "k2", "shared", "start", "windows"]
-            out: list[tuple] = []
-            for run in batch.column(3)[i].as_py():
-                x = run["x"]
-                for cell in range((x - run["last"]) // CELL, (x - run["first"]) // CELL + 1):
-                    a = max(run["first"], x - cell * CELL - CELL + 1)
-                    b = min(run["last"], x - cell * CELL)
-                    # shared by the windows of the cell: 200 - 15 bytes from p on, as overlapping buckets of 100
-                    p = x - cell * CELL
-                    e = p + LENGTH - CELL + 1
-                    out.append((_pair(hundred[p:p + 1], hundred[e - 4 * GRAM:e - 4 * GRAM + 1]).view(np.int64)[0],
-                                a, ids[a:b + 1].view(np.int64)))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([batch.column(0)[i].as_py()] * len(out), pa.int64()),
-                     pa.array([batch.column(1)[i].as_py()] * len(out), pa.int64()),
-                     pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int32()),
-                     pa.array([o[2] for o in out], pa.list_(pa.int64()))], names)
+            hundred = refine(refine(gram_buckets(data), GRAM), 2 * GRAM)
+            runs = batch.column(3)[i].values
+            x, first, last = (runs.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(3))
+            low, high = (x - last) // CELL, (x - first) // CELL
+            many = high - low + 1
+            of = np.repeat(np.arange(len(x)), many)
+            cell = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many) + low[of]
+            p = x[of] - cell * CELL
+            a, b = np.maximum(first[of], p - CELL + 1), np.minimum(last[of], p)
+            e = p + SHARED
+            raw = data.tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(p), batch.column(0)[i].as_py(), np.int64)),
+                 pa.array(np.full(len(p), batch.column(1)[i].as_py(), np.int64)),
+                 pa.array(_pair(hundred[p], hundred[e - 4 * GRAM]).view(np.int64)),
+                 *(pa.array(v.astype(np.int32)) for v in (a, b, p)),
+                 pa.array([raw[s:t] for s, t in zip(a.tolist(), p.tolist())], pa.binary()),
+                 pa.array([raw[s:t + LENGTH] for s, t in zip(e.tolist(), b.tolist())], pa.binary())], names)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,6 +172,16 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
+def _sort_out(rows: DataFrame, bucket: str, columns: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(table of names, rows that occur twice as a whole, one representative of
+    each name in the buckets where some other name occurs once)."""
+    named = materialize(rows.groupBy(bucket, "name").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(*columns)).alias("r")), "names")
+    whole = rows.join(named.filter("n > 1").select(bucket, "name"), [bucket, "name"], "left_semi")
+    mixed = named.groupBy(bucket).agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("n")).filter("m > 1 and n = 1")
+    return named, whole, named.join(mixed.select(bucket), bucket, "left_semi").select(bucket, "r.*")
+
+
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """``k1, k2, spans`` (array of start, end in bytes, overlapping) for the
     texts (``k1, k2, text``) that have repeated strings."""
@@ -179,27 +190,35 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     # level 0
     shared = runs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     live = materialize(runs.join(shared, "bucket", "left_semi"), "live-runs")
+    release(runs)
     # level 1
-    where = F.struct("k1", "k2", "x", "first", "last")
-    named = live.groupBy("bucket", "name").agg(F.count(F.lit(1)).alias("n"), F.min(where).alias("r"))
-    named = materialize(named, "named-runs")
-    whole = live.join(named.filter("n > 1"), ["bucket", "name"], "left_semi").select(
-        "k1", "k2", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("end"))
-    mixed = named.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("n")).filter("m > 1 and n = 1")
-    opened = named.join(mixed.select("bucket"), "bucket", "left_semi").select("r.*")
-    lists = opened.groupBy("k1", "k2").agg(F.collect_list(F.struct("x", "first", "last")).alias("runs"))
+    names, whole, opened = _sort_out(live, "bucket", ["k1", "k2", "x", "first", "last"])
+    end = (F.col("last") + LENGTH).alias("end")
+    done = materialize(whole.select("k1", "k2", F.col("first").alias("start"), end), "whole-runs")
+    release(live)
     # level 2
+    lists = opened.groupBy("k1", "k2").agg(F.collect_list(F.struct("x", "first", "last")).alias("runs"))
     cells = texts.join(lists, ["k1", "k2"]).select("k1", "k2", "text", "runs").mapInArrow(
-        _cells, "k1 bigint, k2 bigint, shared bigint, start int, windows array<bigint>")
-    cells = materialize(cells, "cells")
-    again = cells.groupBy("shared").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("shared")
-    # level 3
-    windows = cells.join(again, "shared", "left_semi").select("k1", "k2", "start", F.posexplode("windows").alias("i", "window"))
-    windows = materialize(windows.select("k1", "k2", (F.col("start") + F.col("i")).alias("start"), "window"), "windows")
-    twice = windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("window")
-    single = windows.join(twice, "window", "left_semi").select(
+        _cells, "k1 bigint, k2 bigint, shared bigint, start int, last int, p int, left binary, right binary")
+    sides = F.xxhash64("left", "right", F.col("p") - F.col("start"), F.col("last") - F.col("p"))
+    cells = materialize(cells.withColumn("name", sides), "cells")
+    release(names)
+    names, whole, opened = _sort_out(cells, "shared", ["k1", "k2", "start", "last", "p", "left", "right"])
+    more = materialize(whole.select("k1", "k2", "start", end), "whole-cells")
+    release(cells)
+    # level 3: a window is the shared bytes, the last i on the left and the first 15 - i on the right
+    windows = opened.select("*", F.explode(F.sequence(F.col("p") - F.col("last"), F.col("p") - F.col("start"))).alias("i"))
+    window = F.expr(f"xxhash64(i, substring(left, length(left) - i + 1, i), substring(right, 1, {CELL - 1} - i))")
+    windows = materialize(windows.select("k1", "k2", (F.col("p") - F.col("i")).alias("start"), "shared",
+                                         window.alias("window")), "windows")
+    release(names)
+    twice = windows.groupBy("shared", "window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    single = windows.join(twice.select("shared", "window"), ["shared", "window"], "left_semi").select(
         "k1", "k2", "start", (F.col("start") + LENGTH).alias("end"))
-    return whole.unionByName(single).groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = materialize(done.unionByName(more).unionByName(single).groupBy("k1", "k2").agg(
+        F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
+    release(done, more, windows)
+    return spans
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -214,7 +233,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     keys = [F.coalesce(F.col(id_col).cast("bigint"), F.lit(-1)).alias("k1"),
             F.coalesce(F.xxhash64(F.col(text)), F.lit(0)).alias("k2")]
     texts = docs.select(*keys, F.col(text).cast("string").alias("text"))
-    spans = materialize(repeated_spans(texts.filter(F.octet_length("text") >= LENGTH)), "spans")
+    spans = repeated_spans(texts.filter(F.octet_length("text") >= LENGTH))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("text"), *keys)
     kind = rows.schema["id"].dataType.simpleString()
     none = F.array().cast("array<struct<start:int,end:int>>")

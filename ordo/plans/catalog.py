@@ -28,15 +28,16 @@ from ordo.functions.keys import bind_keys, bound_order
 from ordo.functions.lines import line_of, well_formed
 from ordo.operators.parse import parse_lines, reject_summary
 from ordo.operators.position import position_in_files, with_position
-from ordo.operators.profile import count_conservation, run_profile
-from ordo.operators.sort import merge_runs, sort_lines, sort_within, sorted_runs, top_lines
+from ordo.operators.profile import count_conservation, run_profile, run_sizes
+from ordo.operators.sort import first_lines, merge_runs, sort_lines, sort_within, top_lines
 from ordo.operators.validate import (
     bag_equal, check_sorted, format_check, order_equal, size_in_window, sorted_summary,
 )
 from ordo.plans.report import report_summary
-from ordo.plans.sort_file import generate_file, merge_files, sort_file
+from ordo.plans.sort_file import generate_file, merge_files, sort_file, split_and_sort
 from ordo.session import scratch_path
-from ordo.sources.text import read_in_file_order, read_lines, read_runs, write_lines
+from ordo.sources.generator import NUMBER_BOUND, PHRASES, generate_lines, rows_for_size
+from ordo.sources.text import head_of_output, read_in_file_order, read_lines, read_runs, write_lines
 
 
 # ---------------------------------------------------------------- lines (Spark)
@@ -126,9 +127,33 @@ def q_parse_documents(spark, sf_dir):
     return parse_lines(document_lines(spark, sf_dir), "line")
 
 
+def all_kinds_of_lines(spark, sf_dir):
+    """Document lines, the spaces alone of every document line, and line breaks
+    with nothing between them: valid, empty, blank and malformed lines."""
+    docs = document_lines(spark, sf_dir)
+    return docs.unionByName(docs.select(F.regexp_replace("line", "[^ ]", "").alias("line")))
+
+
 def q_reject_reasons(spark, sf_dir):
-    """How many lines were kept or rejected, by reason."""
-    return reject_summary(document_lines(spark, sf_dir), "line")
+    """How many lines were kept or rejected, by reason (all five)."""
+    return reject_summary(all_kinds_of_lines(spark, sf_dir), "line")
+
+
+def q_first_lines(spark, sf_dir):
+    """The first 25 lines in reading order. Which they are depends on the
+    scan; that there are 25 and that each is a line of the table does not."""
+    scan = _through_files(spark, orders_lines(spark, sf_dir), "first-lines")
+    first = first_lines(scan, 25)
+    known = first.join(orders_lines(spark, sf_dir).distinct(), "line", "left_semi")
+    return first.agg(F.count(F.lit(1)).alias("n")).join(known.agg(F.count(F.lit(1)).alias("n_known")))
+
+
+def q_output_head(spark, sf_dir):
+    """O6 on files: the first ten lines of a written sort."""
+    src, out = scratch_path(spark, "head-src"), scratch_path(spark, "head-sorted")
+    write_lines(orders_lines(spark, sf_dir), src)
+    sort_file(spark, src, out)
+    return head_of_output(spark, out, 10).select(F.col("value").alias("line"))
 
 
 def q_top10_lines(spark, sf_dir):
@@ -143,7 +168,7 @@ def q_merge_runs(spark, sf_dir):
     """Three tables as three sorted run files, merged."""
     runs_dir = scratch_path(spark, "runs3")
     for name, lines in (("part", part_lines), ("supplier", supplier_lines), ("customer", customer_lines)):
-        write_lines(sort_within(lines(spark, sf_dir)), f"{runs_dir}/{name}")
+        write_lines(sort_within(lines(spark, sf_dir)), f"{runs_dir}/{name}")  # part-00000... in each of them
     runs = read_runs(spark, [f"{runs_dir}/{n}" for n in ("part", "supplier", "customer")])
     return _positioned(merge_runs(runs, "value"))
 
@@ -165,10 +190,19 @@ def q_run_profile(spark, sf_dir):
 
 
 def q_sorted_runs(spark, sf_dir):
-    """O3 + A3: runs of bounded size from input splits, count conserved."""
-    scan = _through_files(spark, lineitem_lines(spark, sf_dir), "li-lines")
-    runs = sorted_runs(scan, "value")
-    return count_conservation(scan, runs).select("rows_in", "rows_in_runs", "conserved")
+    """O3 + A3 + V1 + V5: runs written and read back: every row is there, each run
+    is sorted, there are several, and none exceeds the limit (of the input's
+    bytes; sorting changes no line)."""
+    src, out = scratch_path(spark, "li-lines"), scratch_path(spark, "li-runs")
+    write_lines(lineitem_lines(spark, sf_dir), src)
+    limit = 64 * 1024
+    split_and_sort(spark, src, out, max_run_bytes=limit)
+    runs = read_runs(spark, out)
+    kept = count_conservation(read_lines(spark, src), runs, "run").select("rows_in", "rows_in_runs", "conserved")
+    sizes = run_sizes(runs).select((F.col("runs") > 1).alias("several"), "empty_runs",
+                                   (F.col("max_run_bytes") <= limit + 100).alias("within_limit"))
+    order = sorted_summary(check_sorted(spark, out)).select("violations")
+    return kept.join(sizes).join(order)  # three one-row tables
 
 
 def q_sorted_check(spark, sf_dir):
@@ -190,10 +224,12 @@ def q_sorted_positions(spark, sf_dir):
 
 
 def q_bag_equality(spark, sf_dir):
-    """V7: the sort keeps exactly the valid input lines."""
-    lines = document_lines(spark, sf_dir)
-    valid = parse_lines(lines, "line").select("line")
-    return bag_equal(valid, sort_lines(lines))
+    """V7: the written sort holds exactly the valid input lines."""
+    src, out = scratch_path(spark, "bag-src"), scratch_path(spark, "bag-sorted")
+    write_lines(document_lines(spark, sf_dir), src)
+    sort_file(spark, src, out)
+    valid = parse_lines(document_lines(spark, sf_dir), "line").select("line")
+    return bag_equal(valid, read_lines(spark, out).withColumnRenamed("value", "line"))
 
 
 def q_format_check(spark, sf_dir):
@@ -254,11 +290,21 @@ def q_generate_lines(spark, sf_dir):
     files = scan.select(
         F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"), "value"
     ).groupBy("f", "s").agg(F.count_if(~well_formed("value")).alias("bad"))
-    return files.agg(
+    window = files.agg(
         F.lit(int(target)).cast("bigint").alias("target_bytes"),
         (F.sum("bad") == 0).alias("format_ok"),
         size_in_window(F.sum("s"), int(target)).alias("size_ok"),
     )
+    # a line is a pure function of its id: the written file and the same ids again hold the same bag
+    n = rows_for_size(spark, int(target))
+    same = bag_equal(generate_lines(spark, n, partitions=3), spark.read.text(path).withColumnRenamed("value", "line"))
+    parsed = parse_lines(spark.read.text(path), "value")
+    members = parsed.agg(
+        F.count_if(~F.col("text").isin(*PHRASES)).alias("other_phrases"),
+        F.count_distinct("text").alias("phrases"),
+        ((F.min("number") >= 0) & (F.max("number") < NUMBER_BOUND)).alias("numbers_ok"),
+        (F.max("number") - F.min("number") > 0.99 * NUMBER_BOUND).alias("numbers_spread"))
+    return window.join(members).join(same.select(F.col("same").alias("reproducible")))  # one-row tables
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -269,6 +315,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_documents": q_parse_documents,
     "reject_reasons": q_reject_reasons,
     "top10_lines": q_top10_lines,
+    "first_lines": q_first_lines,
+    "output_head": q_output_head,
     "merge_runs": q_merge_runs,
     "merge_many_runs": q_merge_many_runs,
     "run_profile": q_run_profile,
@@ -315,6 +363,10 @@ SQL_LINES = {
 }
 
 
+SQL_ALL_KINDS = (f"{SQL_LINES['documents']} UNION ALL "
+                 f"SELECT regexp_replace(line, '[^ ]', '', 'g') AS line FROM ({SQL_LINES['documents']})")
+
+
 def _sql_parsed(lines_sql: str) -> str:
     """``line, number, text`` for every line (number null when rejected)."""
     return f"""
@@ -348,7 +400,9 @@ ORACLE_SQL: dict[str, str] = {
     "sort_lineitem": _sql_sorted(SQL_LINES["lineitem"]),
     "sort_documents": _sql_sorted(SQL_LINES["documents"]),
     "parse_documents": f"SELECT number, text, line FROM ({_sql_parsed(SQL_LINES['documents'])}) WHERE number IS NOT NULL",
-    "reject_reasons": f"SELECT reason, count(*) AS n FROM ({_sql_reason(SQL_LINES['documents'])}) GROUP BY reason",
+    "reject_reasons": f"SELECT reason, count(*) AS n FROM ({_sql_reason(SQL_ALL_KINDS)}) GROUP BY reason",
+    "first_lines": "SELECT least(25, count(*)) AS n, least(25, count(*)) AS n_known FROM orders",
+    "output_head": f"SELECT line FROM ({_sql_sorted(SQL_LINES['orders'])}) WHERE pos <= 10",
     "top10_lines": f"SELECT pos, line FROM ({_sql_sorted(SQL_LINES['orders'])}) WHERE pos <= 10",
     "merge_runs": _sql_sorted(
         f"{SQL_LINES['part']} UNION ALL {SQL_LINES['supplier']} UNION ALL {SQL_LINES['customer']}"
@@ -363,7 +417,9 @@ ORACLE_SQL: dict[str, str] = {
         FROM (SELECT p_brand AS run_id, CAST(p_partkey AS VARCHAR) || '. ' || p_name AS line,
                      p_partkey AS number, p_name AS text FROM part)
         GROUP BY run_id""",
-    "sorted_runs": "SELECT count(*) AS rows_in, count(*) AS rows_in_runs, true AS conserved FROM lineitem",
+    "sorted_runs": """
+        SELECT count(*) AS rows_in, count(*) AS rows_in_runs, true AS conserved, true AS several,
+               CAST(0 AS BIGINT) AS empty_runs, true AS within_limit, CAST(0 AS BIGINT) AS violations FROM lineitem""",
     "sorted_check": "SELECT count(*) AS n, CAST(0 AS BIGINT) AS violations, true AS total_order FROM lineitem",
     "sorted_positions": _sql_sorted(SQL_LINES["events"]),
     "bag_equality": f"""
@@ -389,6 +445,8 @@ ORACLE_SQL: dict[str, str] = {
         SELECT count(*) AS n_actual, count(*) AS n_expected, CAST(0 AS BIGINT) AS mismatches FROM lineitem""",
     "stream_merge": _sql_sorted(f"{SQL_LINES['part']} UNION ALL {SQL_LINES['supplier']}"),
     "generate_lines": f"""
-        SELECT CAST(sum(strlen(line) + 1) AS BIGINT) AS target_bytes, true AS format_ok, true AS size_ok
+        SELECT CAST(sum(strlen(line) + 1) AS BIGINT) AS target_bytes, true AS format_ok, true AS size_ok,
+               CAST(0 AS BIGINT) AS other_phrases, CAST(11 AS BIGINT) AS phrases, true AS numbers_ok,
+               true AS numbers_spread, true AS reproducible
         FROM ({SQL_LINES['lineitem']})""",
 }

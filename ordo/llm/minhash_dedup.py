@@ -161,7 +161,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     digest = ["n_shingles", "digest_a", "digest_b"]
     classes = filled.groupBy(*digest).agg(F.min("id").alias("low"))
     member = filled.join(classes, digest).select("id", "low")
-    copies = member.filter("id > low").select(F.col("id").alias("a"), F.col("low").alias("b"))
+    several = member.groupBy("id").agg(F.min("low").alias("b"), F.max("low").alias("c")).filter("b < c")
+    same_id = member.join(several, "id").select(F.col("low").alias("a"), "b")  # an id with several texts
     reps = filled.join(classes.withColumnRenamed("low", "id"), [*digest, "id"], "left_semi").select("id", "n_shingles", "pairs")
     reps = materialize(reps.dropDuplicates(["id", "pairs"]), "class-signatures")
 
@@ -208,8 +209,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     rest = rest.join(first, ["a", "b"], "left_anti")
     more = _linked(_collisions(rest, reps, matches, similarity_percent), sets, similarity_percent)
 
-    whole = components(links.unionByName(more).unionByName(copies))
-    out = signed.select("id", "n_shingles").join(whole.withColumnRenamed("node", "id"), "id", "left")
+    # components of components: few links are left; copies follow their class
+    roots = components(more.unionByName(same_id).join(parts.withColumnsRenamed({"node": "a", "component": "part_a"}), "a", "left").join(
+        parts.withColumnsRenamed({"node": "b", "component": "part_b"}), "b", "left").select(
+        F.coalesce("part_a", "a").alias("a"), F.coalesce("part_b", "b").alias("b")))
+    placed = member.join(parts.withColumnRenamed("node", "low"), "low", "left").select(
+        "id", F.coalesce("component", "low").alias("part")).join(
+        roots.withColumnsRenamed({"node": "part", "component": "root"}), "part", "left")
+    placed = placed.groupBy("id").agg(F.min(F.coalesce("root", "part")).alias("component"))
+    out = signed.select("id", "n_shingles").join(placed, "id", "left")
     component = F.coalesce("component", "id")
     return out.select("id", "n_shingles", component.alias("component_id"),
                       F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))

@@ -66,6 +66,12 @@ def test_large_group_of_near_copies(make_docs):
     assert {x["id"]: x["component_id"] for x in got} == low
 
 
+def test_ids_with_several_texts_join_their_groups(make_docs):
+    texts = {1: [prose(1, 90)], 2: [prose(1, 90), prose(2, 90)], 3: [prose(2, 90)], 4: [prose(3, 90), prose(2, 90) + " end"], 5: [prose(4, 90)]}
+    got = near_duplicates(make_docs([(i, t, "s") for i, ts in texts.items() for t in ts]), k=5).collect()
+    assert sorted((x["id"], x["component_id"]) for x in got) == [(1, 1), (2, 1), (2, 1), (3, 1), (4, 1), (4, 1), (5, 5)]
+
+
 def test_messy(messy):
     docs, rows = messy
     got = near_duplicates(docs, k=5).collect()

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordo.llm.components import components
-from ordo.llm.tables import materialize, ship
+from ordo.llm.tables import materialize, release, ship
 from ordo.llm.words import blocks, mix, shingle_sets
 
 COORDINATES = 32      # K
@@ -193,9 +193,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     parts = materialize(components(links), "components-1")
     placed = postings.join(parts.withColumnRenamed("node", "id"), "id", "left").select(
         "id", "pair", F.coalesce("component", "id").alias("part"))
-    mixed = placed.groupBy("pair").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p < q")
-    placed = materialize(placed.join(mixed.select("pair"), "pair", "left_semi"), "mixed-lists")
-    rare = materialize(_rare_postings(sets, placed.select("id", "part").distinct(), similarity_percent), "rare-postings")
+    several_parts = placed.groupBy("pair").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p < q")
+    mixed = materialize(placed.join(several_parts.select("pair"), "pair", "left_semi").select("id", "part").distinct(), "mixed")
+    rare = materialize(_rare_postings(sets, mixed, similarity_percent), "rare-postings")
     tally = rare.groupBy("shingle", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("shingle").agg(
         F.max_by("part", F.struct("n", "part")).alias("most"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     held = rare.join(tally.select("shingle", "most"), "shingle")
@@ -213,11 +213,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     roots = components(more.unionByName(same_id).join(parts.withColumnsRenamed({"node": "a", "component": "part_a"}), "a", "left").join(
         parts.withColumnsRenamed({"node": "b", "component": "part_b"}), "b", "left").select(
         F.coalesce("part_a", "a").alias("a"), F.coalesce("part_b", "b").alias("b")))
-    placed = member.join(parts.withColumnRenamed("node", "low"), "low", "left").select(
+    place = member.join(parts.withColumnRenamed("node", "low"), "low", "left").select(
         "id", F.coalesce("component", "low").alias("part")).join(
         roots.withColumnsRenamed({"node": "part", "component": "root"}), "part", "left")
-    placed = placed.groupBy("id").agg(F.min(F.coalesce("root", "part")).alias("component"))
-    out = signed.select("id", "n_shingles").join(placed, "id", "left")
+    place = place.groupBy("id").agg(F.min(F.coalesce("root", "part")).alias("component"))
     component = F.coalesce("component", "id")
-    return out.select("id", "n_shingles", component.alias("component_id"),
-                      F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
+    out = materialize(signed.select("id", "n_shingles").join(place, "id", "left").select(
+        "id", "n_shingles", component.alias("component_id"),
+        F.coalesce(component == F.col("id"), F.lit(True)).alias("kept")), "groups")
+    release(signed, reps, postings, first, sets, links, parts, mixed, rare)
+    return out

@@ -189,8 +189,9 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         _runs, "k1 bigint, k2 bigint, x int, first int, last int, bucket bigint, name bigint"), "runs")
     # level 0
     shared = runs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+    shared = materialize(shared, "buckets")  # the join below then shuffles both sides and can split a hot bucket
     live = materialize(runs.join(shared, "bucket", "left_semi"), "live-runs")
-    release(runs)
+    release(runs, shared)
     # level 1
     names, whole, opened = _sort_out(live, "bucket", ["k1", "k2", "x", "first", "last"])
     end = (F.col("last") + LENGTH).alias("end")

@@ -58,8 +58,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode_texts(docs, public_tokenizers.path(VOCABULARY))
-    return bpe.digests(encoded).withColumnRenamed("id", "doc_id")
+    """The ids themselves, their count, and digests of ids and decoded text."""
+    return bpe.encode_texts(docs, public_tokenizers.path(VOCABULARY),
+                            outputs=("n_tokens", "ids", "ids_sha256", "decoded_sha256")).withColumnRenamed("id", "doc_id")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

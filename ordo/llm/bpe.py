@@ -27,8 +27,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WORDS_REMEMBERED = 400_000   # encodings of words kept by one Python worker
-PAIRS_REMEMBERED = 2_000_000
+from ordo.llm.tables import ship
+
+WORDS_REMEMBERED = 250_000   # encodings of words kept by one Python worker
+PAIRS_REMEMBERED = 500_000
 OUTPUT_ROWS = 512            # rows in one output batch: bounds memory with long texts
 
 _END = 0x10000               # offset of the symbols that end a word, out of the file's own alphabet
@@ -76,9 +78,8 @@ class BytePairEncoding:
                 key = self._key(token)
                 self.automaton.add_word(key, (i, len(key)))
         self.automaton.make_automaton()
-        self.compatible: dict[tuple[int, int], bool] = {}
+        self.compatible: dict[int, bool] = {}  # by left << 32 | right
         self.known: dict[str, tuple[int, ...]] = {}
-        self.known_ids: dict[str, str] = {}
 
     def _key(self, token: str) -> str:
         """Token as automaton symbols: its last one differs if it ends a word."""
@@ -92,7 +93,7 @@ class BytePairEncoding:
         across the border comes before the merges that make the two tokens. The
         tokens on the border are taken apart, the later made one first; a border
         merge that would then still come earlier spoils the pair."""
-        seen = self.compatible.get((left, right))
+        seen = self.compatible.get(left << 32 | right)
         if seen is None:
             a, b, bound = left, right, len(self.rank)
             seen = True
@@ -112,7 +113,7 @@ class BytePairEncoding:
                     bound, b = made_b + 1, self.parts[b][0]
             if len(self.compatible) >= PAIRS_REMEMBERED:
                 self.compatible.clear()
-            self.compatible[left, right] = seen
+            self.compatible[left << 32 | right] = seen
         return seen
 
     def encode_word(self, word: str) -> tuple[int, ...]:
@@ -131,7 +132,7 @@ class BytePairEncoding:
                 before = last[start]
                 if before < 0:
                     continue
-                ok = pair.get((before, token))
+                ok = pair.get(before << 32 | token)
                 if not (self._pair(before, token) if ok is None else ok):
                     continue
             last[end], back[end] = token, start
@@ -183,9 +184,23 @@ def load(path: str) -> BytePairEncoding:
     return _loaded[path]
 
 
-def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id``, ``ids`` (array of int) and ``decoded`` of every whole text, one
-    row per input row, in the order of the input.
+def _sha256(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+# output column: its type and how it follows from the ids and the encoder
+OUTPUTS = {
+    "ids": ("array<int>", pa.list_(pa.int32()), lambda ids, coder: ids),
+    "decoded": ("string", pa.string(), lambda ids, coder: coder.decode(ids)),
+    "n_tokens": ("bigint", pa.int64(), lambda ids, coder: len(ids)),
+    "ids_sha256": ("string", pa.string(), lambda ids, coder: _sha256(" ".join(map(str, ids)))),
+    "decoded_sha256": ("string", pa.string(), lambda ids, coder: _sha256(coder.decode(ids))),
+}
+
+
+def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text",
+                 outputs: tuple[str, ...] = ("ids", "decoded")) -> DataFrame:
+    """``id`` and the chosen OUTPUTS of every whole text, one row per input row.
 
     A null text counts as empty and has no ids; null and repeated ids and an
     empty table need no care. ``path`` must name the file on every executor."""
@@ -197,27 +212,12 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text: str =
         for batch in batches:
             for at in range(0, batch.num_rows, OUTPUT_ROWS):
                 part = batch.slice(at, OUTPUT_ROWS)
-                ids = [coder.encode(t.as_py()) for t in part.column(1)]
+                values: dict[str, list] = {c: [] for c in outputs}
+                for t in part.column(1):
+                    ids = coder.encode(t.as_py())
+                    for c, v in values.items():
+                        v.append(OUTPUTS[c][2](ids, coder))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.list_(pa.int32())),
-                     pa.array([coder.decode(x) for x in ids], pa.string())], ["id", "ids", "decoded"])
+                    [part.column(0), *(pa.array(v, OUTPUTS[c][1]) for c, v in values.items())], ["id", *outputs])
 
-    return src.mapInArrow(run, f"id {kind}, ids array<int>, decoded string")
-
-
-def digests(encoded: DataFrame) -> DataFrame:
-    """``id``, ``n_tokens`` and the SHA-256 of the ids and of the decoded text."""
-    kind = encoded.schema["id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [x.as_py() for x in batch.column(1)]
-            sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) for x in ids], pa.int64()),
-                 pa.array([sha(" ".join(map(str, x))) for x in ids]),
-                 pa.array([sha(x.as_py()) for x in batch.column(2)])],
-                ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return encoded.select("id", "ids", "decoded").mapInArrow(
-        run, f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return ship(src).mapInArrow(run, f"id {kind}, " + ", ".join(f"{c} {OUTPUTS[c][0]}" for c in outputs))

@@ -44,7 +44,8 @@ def op3_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     """Token ids of every document and their decoded text, as digests."""
     path = vocabulary or public_tokenizers.path(VOCABULARY)
-    return bpe.digests(bpe.encode_texts(table(spark, sf_dir, "documents"), path)).withColumnRenamed("id", "doc_id")
+    return bpe.encode_texts(table(spark, sf_dir, "documents"), path,
+                            outputs=("n_tokens", "ids_sha256", "decoded_sha256")).withColumnRenamed("id", "doc_id")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,9 +6,11 @@ shuffle, so a line on a third of all documents costs one small sketch per map
 task. The estimate decides alone only outside a band around the threshold;
 lines inside it get an exact distinct count. Then the boilerplate lines go.
 
-A document of which most characters stand in such lines is a copy of a whole
-page rather than a page with boilerplate on it; it is left whole for the
-document-level stage (``max_share``).
+A document of which most characters stand in such lines (``max_share``) is left
+whole for the document-level stage if it is a copy of a whole page: its lines
+also stand in another row, all of them or all but one small line on either side.
+From every other document the lines go whatever their share. SQL of op2 leaves
+every document over the share whole; ``copies_only=False`` does the same.
 """
 
 from __future__ import annotations
@@ -21,7 +23,8 @@ from ordo.llm.tables import materialize
 MIN_SITES = 10     # a line on this many distinct sites is boilerplate
 LG_K = 12          # sketch of 2^12 registers: 1.6 % standard error
 BAND = 0.15        # estimates within 15 % of the threshold are counted exactly
-MAX_SHARE = 0.5    # at most this share of a document's characters is removed
+MAX_SHARE = 0.5    # a copy that would lose more than this share of its characters stays whole
+EDIT = 0.2         # of a document's characters in a line that its copy may not have
 
 
 def _lines(text: str):
@@ -51,11 +54,34 @@ def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K,
     return sure.unionByName(exact)
 
 
+def _copies(held: DataFrame, max_share: float, edit: float = EDIT) -> DataFrame:
+    """``k1, k2`` of the documents of ``held`` (one per row, with ``lines``, ``share``
+    of their characters in spread lines) whose lines another row has too. A row is
+    posted under the sum of its line hashes, and without each line of at most
+    ``edit`` of its characters; one posting that two rows have makes both copies."""
+    # a copy that is itself over max_share has its match above this share
+    near = held.filter(F.col("share") > (max_share - edit) * (1 - edit))
+    number = "decimal(38,0)"
+    total = F.aggregate("lines", F.lit(0).cast(number), lambda n, x: (n + x["h"]).cast(number))
+    chars = F.aggregate("lines", F.lit(0).cast("long"), lambda n, x: n + x["n"])
+    none = F.array(F.struct(F.lit(None).cast("long").alias("h"), F.lit(0).alias("n")))
+    without = near.select("k1", "k2", F.size("lines").alias("size"), total.alias("total"), chars.alias("chars"),
+                          F.explode(F.concat(none, F.array_distinct("lines"))).alias("x"))
+    without = without.filter(F.col("x.n") <= edit * F.col("chars"))
+    posted = materialize(without.select(
+        "k1", "k2", (F.col("size") - F.col("x.h").isNotNull().cast("int")).alias("size"),
+        (F.col("total") - F.coalesce("x.h", F.lit(0))).cast(number).alias("total")), "line-copies")
+    same = ["size", "total"]
+    shared = posted.groupBy(*same).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    return posted.join(shared.select(*same), same, "left_semi").select("k1", "k2").distinct()
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", site: str = "source",
                 min_sites: int = MIN_SITES, lg_k: int = LG_K, band: float = BAND,
-                max_share: float = MAX_SHARE) -> DataFrame:
+                max_share: float = MAX_SHARE, copies_only: bool = True) -> DataFrame:
     """``row`` (the input row as a struct), ``n_lines``, ``n_removed`` and
-    ``clean_text``.
+    ``clean_text``. Documents over ``max_share`` stay whole if they are copies,
+    without ``copies_only`` all of them.
 
     Null text: no lines, text stays null. An empty text is one empty line. Lines without a
     character other than spaces are never removed. Repeated rows are treated alike;
@@ -70,13 +96,24 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sit
     spread = spread_lines(lines.select("site", "line_hash"), min_sites, lg_k, band)
     found = lines.join(spread, "line_hash", "left_semi").groupBy("k1", "k2").agg(
         F.collect_set("line_hash").alias("found"))  # at most the lines of one document
+    spare = lambda line: ~F.coalesce(F.array_contains("found", _line_hash(line)), F.lit(False))
+    chars = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda n, x: n + F.length(x))
+    rest, every = F.filter(_lines(text), spare), _lines(text)
+    found = found.withColumn("copy", F.lit(not copies_only))
+    if copies_only:
+        line = F.transform(every, lambda x: F.struct(_line_hash(x).alias("h"), F.length(F.trim(x)).alias("n")))
+        share = 1 - F.try_divide(chars(rest), chars(every))
+        parted = docs.select(*keys, text).join(found, ["k1", "k2"]).select(
+            "k1", "k2", F.filter(line, lambda x: x["h"].isNotNull()).alias("lines"), share.alias("share"))
+        copies = _copies(parted, max_share).withColumn("copied", F.lit(True))
+        found = found.join(copies, ["k1", "k2"], "left").select(
+            "k1", "k2", "found", F.coalesce("copied", F.lit(False)).alias("copy"))
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"), *keys)
     rows = rows.join(found, ["k1", "k2"], "left")
-    spare = lambda line: ~F.coalesce(F.array_contains("found", _line_hash(line)), F.lit(False))
-    parted = rows.select("row", "text", _lines("text").alias("all"),
+    parted = rows.select("row", "text", "copy", _lines("text").alias("all"),
                          F.when(F.col("found").isNotNull(), F.filter(_lines("text"), spare)).alias("rest"))
-    chars = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda n, x: n + F.length(x))
-    whole = F.col("rest").isNull() | (chars(F.col("rest")) < (1 - max_share) * chars(F.col("all")))
+    over = chars(F.col("rest")) < (1 - max_share) * chars(F.col("all"))
+    whole = F.col("rest").isNull() | (F.col("copy") & over)
     n_all = F.coalesce(F.size("all"), F.lit(0)).cast("long")
     return parted.select(
         "row", F.greatest(n_all, F.lit(0)).alias("n_lines"),

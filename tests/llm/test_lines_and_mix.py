@@ -60,6 +60,22 @@ def test_spread_is_exact_near_the_threshold(spark):
         assert got == {2, 3, 4}
 
 
+def test_only_copies_stay_whole(make_docs):
+    """Short pages lose boilerplate that is most of them; copies of a page stay, also with an edited line."""
+    sold = [f"Line {i} of a page that was copied to many sites." for i in range(8)]
+    foot = "All rights reserved, as on any other site."
+    rows = [(i, "\n".join(sold), f"s{i}") for i in range(12)]                               # copies of one page
+    rows += [(20, "\n".join(sold[:3] + ["Edited here only."] + sold[4:]), "s20")]
+    rows += [(100 + i, f"{foot}\nOwn {i} {i * 7919} {prose(i, 3)}", f"t{i}") for i in range(12)]   # pages with a long foot
+    rows += [(200, "\n".join([foot] * 3 + ["Only text"]), "t1"), (201, foot, "t2")]
+    got = {r["doc_id"]: (r["n_removed"], r["clean_text"]) for r in
+           dedup_lines(make_docs(rows), min_sites=10).selectExpr("row.doc_id", "n_removed", "clean_text").collect()}
+    for d, t, _ in rows:
+        lines = t.split("\n")
+        want = [x for x in lines if x != foot]
+        assert got[d] == (len(lines) - len(want), "\n".join(want)), d
+
+
 def test_lines_messy_and_empty(messy, make_docs):
     docs, rows = messy
     got = dedup_lines(docs, min_sites=2).select("row.doc_id", "n_lines", "n_removed", "clean_text", "row.key").collect()

@@ -6,7 +6,8 @@ of it) from its own features; the decoding picks the most probable choice in
 which no block stays inside one that goes.
 
 There are no hand-made labels. The trees are fitted on a bounded sample of the
-given pages (``fit_pages`` pages of at most ``fit_bytes`` bytes): those that
+given pages (``fit_pages`` distinct pages; of those longer than ``fit_bytes``
+bytes, which only fill up the sample, the first ``fit_bytes`` characters): those that
 name their article with <article> or <main> label their own blocks, and their
 texts are set again into varied layouts (named and unnamed containers, menus,
 notices, adverts, side columns, forms, comments) whose blocks have known
@@ -32,6 +33,10 @@ LAYOUTS = 4                # layouts that each sampled page is set into
 OWN_WEIGHT = 4.0           # of a block of a given page over one of a layout
 TREES, DEPTH, BINS, RATE = 70, 5, 32, 0.2
 OUTPUT_ROWS = 64
+# Fixed value: an article for the layouts where no sampled page has text.
+PLAIN_PAGE = ("<article><h1>A day at the river</h1><p>The river was high that morning, and the boats stayed at the pier. Nobody "
+              "had expected so much rain.</p><p>Later the sun came out, so the market opened after all; people stood about "
+              "and talked. Some had come from the next town.</p><p>In the evening it was quiet again.</p></article>")
 
 
 # ------------------------------------------------------------------ trees
@@ -278,11 +283,17 @@ def extract_main_text(pages: DataFrame, html: str = "html", fit_pages: int = FIT
     """``row`` (the input row as a struct) and ``main_text`` for every page.
 
     A null or empty page, and one without running text, has an empty text.
-    Repeated rows are extracted alike; an empty table gives no rows."""
+    Repeated rows are extracted alike; an empty table gives no rows. If no sampled
+    page has text, the trees are fitted on layouts of a fixed article."""
     source = F.col(html).cast("string")
-    sample = pages.select(source.alias("s")).filter(F.octet_length("s").between(1, fit_bytes))
-    sample = sample.orderBy(F.xxhash64("s"), "s").limit(fit_pages).collect()  # at most fit_pages of fit_bytes
-    trees = fit_trees([r["s"] for r in sample])
+    held = pages.select(source.alias("s"), F.xxhash64(source).alias("h"),
+                        (F.octet_length(source) > fit_bytes).alias("long")).filter(F.octet_length("s") > 0)
+    # hashes first: copies of a page count once, and only the chosen texts are moved
+    chosen = held.select("long", "h").distinct().orderBy("long", "h").limit(fit_pages)
+    found = held.join(F.broadcast(chosen), ["long", "h"], "left_semi")
+    found = found.groupBy("long", "h").agg(F.min(F.substring("s", 1, fit_bytes)).alias("s")).orderBy("long", "h")
+    sample = [r["s"] for r in found.collect()]  # at most fit_pages of fit_bytes characters
+    trees = (fit_trees(sample) or fit_trees([PLAIN_PAGE])) if sample else None
     rows = pages.select(F.struct(*pages.columns).alias("row"), source.alias("s"))
     if trees is None:
         return rows.select("row", F.lit("").alias("main_text"))

@@ -136,6 +136,21 @@ def test_pages_messy_and_empty(spark):
     assert html_extract.extract_main_text(empty).count() == 0
 
 
+def test_sample_of_long_and_repeated_pages(spark, monkeypatch):
+    """Long pages alone are fitted on, copies count once, and a sample without text costs no page its text."""
+    fitted, fit = [], html_extract.fit_trees
+    monkeypatch.setattr(html_extract, "fit_trees", lambda pages: fitted.append(pages) or fit(pages))
+    pages = [site_page(n) for n in range(12)]
+    extract = lambda htmls, **own: [r["main_text"] for r in html_extract.extract_main_text(
+        spark.createDataFrame([(n, h) for n, h in enumerate(htmls)], "page_id bigint, html string"), **own).orderBy("row.page_id").collect()]
+    got = extract([h for h, _ in pages], fit_bytes=600)  # every page is longer
+    assert all(got) and len(fitted[-1]) == 12 and max(map(len, fitted[-1])) <= 600
+    extract([pages[0][0]] * 40 + [h for h, _ in pages], fit_pages=12)
+    assert sorted(fitted[-1]) == sorted(h for h, _ in pages)
+    assert extract([f"<p></p><!-- {n} -->" for n in range(5)] + [pages[0][0]], fit_pages=5, fit_bytes=100)[-1]
+    assert extract(["<p></p>", None]) == ["", ""]
+
+
 # ------------------------------------------------------------------ nearest neighbours
 
 def brute(vectors, queries, k=5):

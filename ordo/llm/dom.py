@@ -44,6 +44,8 @@ AGAINST = (
     "trending", "popular", "tags", "gdpr", "privacy", "disclaimer", "feedback", "complementary", "contentinfo")
 AGAINST_WHOLE = frozenset(("ad", "ads", "adv", "dfp", "foot", "head", "top"))
 
+HEAD = frozenset("base basefont bgsound link meta title style script noscript noframes template head html".split())
+
 GROUPS = {g: i for i, names in enumerate((
     "article main", "div section", "p", "h1 h2 h3 h4 h5 h6", "li dt dd", "ul ol dl menu dir", "nav", "aside", "header hgroup",
     "footer", "form fieldset legend input", "blockquote pre figure figcaption table tr td th tbody thead", "#text"))
@@ -98,6 +100,7 @@ class Page:
         while at < size:
             m = _TOKEN.search(source, at)
             piece = source[at:m.start()] if m else _OPEN.split(source[at:], maxsplit=1)[0]
+            head = head and (not piece or piece.isspace())  # text ends a head that nothing closed
             if piece and not head:
                 if "&" in piece:
                     piece = html.unescape(piece)
@@ -113,6 +116,7 @@ class Page:
             tag = m["tag"] or m["tag2"]
             if tag:
                 tag = tag.lower()
+                head = head and tag in HEAD
                 if tag in RAW:
                     end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(source, at)
                     if not (m["attr"] or "").endswith("/"):
@@ -120,7 +124,7 @@ class Page:
                 elif tag == "head":
                     head = True
                 elif tag in ("html", "body"):
-                    head = head and tag != "body"
+                    pass
                 elif tag == "br":
                     if run >= 0:
                         pieces.append(" ")
@@ -144,11 +148,11 @@ class Page:
                     stack.append(node)
             elif m["end"]:
                 tag = m["end"].lower()
-                if tag == "head":
+                if tag in ("head", "body", "html"):
                     head = False
                 elif tag == "a":
                     link = 0
-                elif tag not in INLINE and tag not in ("html", "body"):
+                elif tag not in INLINE:
                     pop_to((tag,))
         close_run()
 

@@ -93,6 +93,17 @@ def test_reader_is_tolerant():
         Page(odd)
 
 
+def test_head_without_an_end():
+    """The head ends at its end tag or at the first content that does not belong in it."""
+    def read(source):
+        p = Page(source)
+        return [p.text[i] for i in p.nodes() if p.text[i]]
+    head = '<html><head><meta charset=x><title>t</title> <style>p{}</style>\n<script>var s = "<p>";</script><link rel=x>'
+    for end in ("", "</head>", "<body>", "</head><body>"):
+        assert read(f"{head}{end}<p>a</p><div>b</div>") == ["a", "b"]
+        assert read(f"{head}{end}a <b>b</b>") == ["a b"]
+
+
 def test_decoding_is_consistent():
     p = Page("<div>a<p>b</p><p>c</p></div><div><p>d</p></div>")
     order = p.nodes()

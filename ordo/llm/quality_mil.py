@@ -178,17 +178,18 @@ def held_out(id_col: str):
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text",
                 label: str = "quality", fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES) -> GatedAttention | None:
     """Model of ``label`` (0/1) from at most ``fit_rows`` labelled documents,
-    taken in the order of a hash of their ids; None without any. Of the chosen
-    ids, texts longer than ``fit_bytes`` are left out.
+    taken in the order of a hash of their ids; None without any. Only ids that have
+    a document with a text of at most ``fit_bytes`` bytes are chosen from.
 
     Rows without an id, a label or a text are not learnt from; an id with two
     labels counts with the smaller one."""
     ship(docs)
     known = labels.select(F.col(id_col).cast("bigint").alias("id"), F.col(label).cast("int").alias("y"))
     known = known.filter("id is not null and y in (0, 1)").groupBy("id").agg(F.min("y").alias("y"))
-    chosen = known.filter(~held_out("id")).orderBy(F.xxhash64("id"), "id").limit(fit_rows)  # proven bound: broadcast
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
     texts = texts.filter(F.octet_length("text") <= fit_bytes)
+    known = known.filter(~held_out("id")).join(texts.select("id"), "id", "left_semi")
+    chosen = known.orderBy(F.xxhash64("id"), "id").limit(fit_rows)  # proven bound: broadcast
     sample = texts.join(F.broadcast(chosen), "id").orderBy(F.xxhash64("id"), "id", F.xxhash64("text")).limit(fit_rows)
     rows = sample.select("y", _encoded("text").alias("x")).collect()  # at most fit_rows texts of fit_bytes
     if not rows:

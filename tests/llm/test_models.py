@@ -61,6 +61,15 @@ def test_held_out_labels_are_never_learnt(make_docs, spark):
     assert a == b
 
 
+def test_sample_is_taken_of_given_documents(make_docs, spark):
+    """Labels without a document, and documents that are too long, take no place in the sample."""
+    docs = make_docs([(i, prose(i, 3000 if i % 2 else 30), "a") for i in range(40)])
+    labels = spark.createDataFrame([(i, i // 2 % 2) for i in range(4000)], "doc_id bigint, quality int")
+    model = quality_mil.fit_quality(docs, labels, fit_rows=10, fit_bytes=4096)
+    want = quality_mil.fit_quality(docs.filter("doc_id % 2 = 0"), labels.filter("doc_id < 40 and doc_id % 2 = 0"), fit_rows=10)
+    assert model is not None and all((model.p[k] == want.p[k]).all() for k in want.p)
+
+
 def test_quality_messy_and_empty(messy, make_docs, spark):
     docs, rows = messy
     labels = spark.createDataFrame([(1, 1), (1, 0), (6, 1), (9, None), (None, 1), (8, 0)], "doc_id bigint, quality int")

@@ -46,11 +46,16 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Five-word shingles, similarity 0.8. Rows without an id stay; rows that
-    repeat an id share its fate."""
-    found = near_duplicates(docs, k=5)
-    gone = found.filter(~F.col("kept")).select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Five-word shingles, similarity 0.8. Every row is a node of its own, also
+    where ids are null or repeat; of a group the row with the smallest id stays
+    (null ids last), of rows with that id the first as written here."""
+    rows = materialize(docs.select(F.struct(*docs.columns).alias("row"),  # written: the numbers must not change
+                                   F.monotonically_increasing_id().alias("id")), "numbered")
+    found = near_duplicates(rows.select("id", F.col("row.text").alias("text")), k=5, id_col="id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "id")
+    of = rows.select("id", F.col("row.doc_id").alias("doc_id"))
+    stay = found.select("id", "component_id").join(of, "id").groupBy("component_id").agg(F.min_by("id", order).alias("id"))
+    return rows.join(stay.select("id"), "id", "left_semi").select("row.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

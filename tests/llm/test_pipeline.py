@@ -70,6 +70,17 @@ def test_pipeline(corpus, spark):
     assert whole.columns == last.columns and sorted((r["doc_id"], r["ids_sha256"]) for r in whole.collect()) == want
 
 
+def test_near_dups_by_row(make_docs, spark):
+    """Null and repeated ids: one row of each group of near-duplicates stays, and only copies go."""
+    rows = [(5, prose(1, 80), "a"), (5, prose(1, 80), "a"), (None, prose(2, 80), "a"), (None, prose(2, 80), "b"),
+            (None, prose(1, 80), "c"), (3, prose(3, 80), "a"), (7, prose(3, 80), "a"), (7, prose(4, 80), "a"),
+            (None, prose(5, 80), "a"), (8, prose(5, 80), "a"), (9, "", "a"), (9, "", "a"), (None, None, None)]
+    got = [(r["doc_id"], r["text"]) for r in STAGES["near_dups"](spark, make_docs(rows), "").collect()]
+    want = [(5, prose(1, 80)), (None, prose(2, 80)), (3, prose(3, 80)), (7, prose(4, 80)), (8, prose(5, 80)),
+            (9, ""), (9, ""), (None, None)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("name", list(STAGES))
 def test_stages_messy_and_empty(name, messy, make_docs, corpus, spark):
     folder, _ = corpus

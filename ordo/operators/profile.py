@@ -53,10 +53,12 @@ def run_profile(runs: DataFrame, run: str = "run_id", line: str = "line",
     return prof.withColumn("avg_bytes", F.try_divide(F.col("est_bytes").cast("double"), F.col("n")))
 
 
-def run_sizes(runs: DataFrame, run: str = "run", line: str = "value") -> DataFrame:
+def run_sizes(runs: DataFrame, run: str = "run", line: str = "value", empty: DataFrame | None = None) -> DataFrame:
     """V5: one row ``runs, empty_runs, max_run_bytes`` (bytes on disk with LF
-    line ends). A run without rows is only known if ``runs`` has a row with a
-    null line for it."""
+    line ends). A run without rows is only known from ``empty`` (``run`` of such
+    files, see ``empty_run_files``) or by a row with a null line in ``runs``."""
+    if empty is not None:
+        runs = runs.select(run, line).unionByName(empty.select(F.col("run").alias(run), F.lit(None).cast("string").alias(line)))
     per = runs.groupBy(run).agg(F.count(line).alias("n"), F.sum(F.octet_length(line) + 1).alias("bytes"))
     return per.agg(F.count(F.lit(1)).alias("runs"), F.count_if(F.col("n") == 0).alias("empty_runs"),
                    F.coalesce(F.max("bytes"), F.lit(0)).cast("bigint").alias("max_run_bytes"))

@@ -37,7 +37,7 @@ from ordo.plans.report import report_summary
 from ordo.plans.sort_file import generate_file, merge_files, sort_file, split_and_sort
 from ordo.session import scratch_path
 from ordo.sources.generator import NUMBER_BOUND, PHRASES, generate_lines, rows_for_size
-from ordo.sources.text import head_of_output, read_in_file_order, read_lines, read_runs, write_lines
+from ordo.sources.text import empty_run_files, head_of_output, read_in_file_order, read_lines, read_runs, write_lines
 
 
 # ---------------------------------------------------------------- lines (Spark)
@@ -199,7 +199,7 @@ def q_sorted_runs(spark, sf_dir):
     split_and_sort(spark, src, out, max_run_bytes=limit)
     runs = read_runs(spark, out)
     kept = count_conservation(read_lines(spark, src), runs, "run").select("rows_in", "rows_in_runs", "conserved")
-    sizes = run_sizes(runs).select((F.col("runs") > 1).alias("several"), "empty_runs",
+    sizes = run_sizes(runs, empty=empty_run_files(spark, out)).select((F.col("runs") > 1).alias("several"), "empty_runs",
                                    (F.col("max_run_bytes") <= limit + 100).alias("within_limit"))
     order = sorted_summary(check_sorted(spark, out)).select("violations")
     return kept.join(sizes).join(order)  # three one-row tables

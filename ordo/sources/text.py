@@ -60,6 +60,24 @@ def read_runs(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     )
 
 
+def empty_run_files(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+    """``run`` of every run file without a byte, from file-system metadata only:
+    Spark's own listings leave such files out."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    empty = []
+    for p in _paths(paths):
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        for st in fs.globStatus(path) or []:
+            files = fs.listFiles(st.getPath(), True)
+            while files.hasNext():
+                f = files.next()
+                if f.getLen() == 0 and not f.getPath().getName().startswith(("_", ".")):
+                    empty.append((f.getPath().toString(),))
+    return spark.createDataFrame(empty, "run string")
+
+
 def write_lines(df: DataFrame, path: str, column: str = "line", mode: str = "overwrite",
                 line_sep: str | None = None, compression: str | None = None) -> None:
     """Write one column as text, one part file per partition."""

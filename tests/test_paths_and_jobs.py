@@ -12,7 +12,7 @@ from ordo.operators.profile import run_sizes
 from ordo.operators.sort import first_lines
 from ordo.operators.validate import check_sorted, sorted_summary
 from ordo.session import derived_session
-from ordo.sources.text import head_of_output, read_in_file_order, read_lines, read_runs
+from ordo.sources.text import empty_run_files, head_of_output, read_in_file_order, read_lines, read_runs
 
 
 @pytest.mark.parametrize("name", ["plain", "a b", "a%20c", "a#c", "100%", "ü x"])
@@ -48,6 +48,13 @@ def test_positions_and_runs_with_equal_names(spark, tmp_path):
     assert (s["runs"], s["empty_runs"], s["max_run_bytes"]) == (2, 0, 15)
 
 
+def test_empty_run_file_is_counted(spark, tmp_path):
+    for name, lines in (("part-00000.txt", "1. a\n2. b\n"), ("part-00001.txt", ""), ("part 2.txt", "3. c\n")):
+        (tmp_path / name).write_text(lines)
+    s = run_sizes(read_runs(spark, str(tmp_path)), empty=empty_run_files(spark, str(tmp_path))).first()
+    assert (s["runs"], s["empty_runs"], s["max_run_bytes"]) == (3, 1, 10)
+
+
 def test_invalid_utf8(spark, text_file):
     p = text_file(b"1. ok\n2. \xff\xfe bad\n3. caf\xc3\xa9 \xe2\x82\n")
     assert [bytes(r["b"]) for r in read_lines(spark, p).selectExpr("cast(value AS binary) b").collect()] == [

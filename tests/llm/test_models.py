@@ -214,3 +214,20 @@ def test_fewer_than_k(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (50, [-1.0, 0.5])], "vec_id bigint, embedding array<double>")
     got = ann.nearest(df, df.filter("vec_id % 50 = 0")).collect()
     assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in got) == [(0, 1, 1), (0, 2, 50), (50, 1, 1), (50, 2, 0)]
+
+
+def test_repeated_ids_with_other_vectors(spark, monkeypatch):
+    """Every vector of an id is a candidate and a query; an id is found once, by its best score."""
+    r = np.random.default_rng(4)
+    rows = [(i % 60, [float(x) for x in r.standard_normal(8)]) for i in range(300)]
+    df = spark.createDataFrame(rows + rows[:50], "vec_id bigint, embedding array<double>")
+    unit = [(i, np.array(v) / np.linalg.norm(v)) for i, v in rows]
+    for size in (ann.BLOCK_VECTORS, 40):
+        monkeypatch.setattr(ann, "BLOCK_VECTORS", size)
+        got = {(x["query_id"], x["vec_id"]): x["score"] for x in ann.nearest(df, df.filter("vec_id % 20 = 0"), k=60).collect()}
+        want = {}
+        for q, v in unit:
+            for i, w in unit:
+                if q % 20 == 0 and i != q:
+                    want[q, i] = max(want.get((q, i), -2), float(v @ w))
+        assert got.keys() == want.keys() and all(got[x] == pytest.approx(want[x], abs=1e-12) for x in want)

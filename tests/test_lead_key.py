@@ -5,7 +5,7 @@ import random
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import oracle_key
+from oracle import oracle_key
 from ordo.functions.prefix import LeadPlan, plan_from_sample
 from ordo.operators.sort import sort_within
 

@@ -2,7 +2,7 @@
 
 import os
 
-from conftest import oracle_key
+from oracle import oracle_key
 from ordo.operators.sort import merge_runs, sorted_runs
 from ordo.plans.sort_file import merge_files, split_and_sort
 from ordo.sources.text import read_runs

@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from conftest import oracle_key
+from oracle import oracle_key
 from ordo import jobs
 from ordo.operators.position import position_in_files
 from ordo.operators.profile import run_sizes

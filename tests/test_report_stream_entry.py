@@ -2,7 +2,7 @@
 
 import os
 
-from conftest import oracle_key
+from oracle import oracle_key
 from ordo.plans.report import report_summary
 from ordo.plans.sort_file import merge_files, sort_file
 from ordo.streaming import stream_sorted_runs

@@ -77,7 +77,7 @@ def test_sorted_output_files_concatenate_to_total_order(spark, text_file, tmp_pa
     for f in parts:
         with open(os.path.join(out, f), encoding="utf-8") as fh:
             concat += fh.read().splitlines()
-    from conftest import oracle_key
+    from oracle import oracle_key
     assert concat == sorted(lines, key=oracle_key)
     assert rep["rows_in"] == rep["rows_out"] == len(lines)
     assert rep["input_bytes"] == os.path.getsize(p)

@@ -63,7 +63,7 @@ def test_sortedness_of_real_sort_output(spark, text_file, tmp_path):
 
 
 def test_positions_match_enumeration(spark, lines_df, tmp_path, text_file):
-    from conftest import oracle_key
+    from oracle import oracle_key
 
     lines = [f"{i % 13}. {t}" for i, t in enumerate(["b", "a", "c", "a"] * 250)]
     expected = sorted(lines, key=oracle_key)

@@ -14,6 +14,7 @@ from ordo.llm.html_extract import extract_main_text
 from ordo.llm.line_dedup import dedup_lines
 from ordo.llm.minhash_dedup import near_duplicates
 from ordo.llm.mixing import plan_mix
+from ordo.llm.packing import pack_documents
 from ordo.llm.quality_mil import score_quality
 from ordo.llm.quality_rules import judge_texts
 from ordo.llm.secret_scan import scan_secrets, span_digest
@@ -94,6 +95,12 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
 
 
+def op11_hilbert_packing(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """The pieces of all documents in sequences of 2,048 token ids."""
+    path = vocabulary or public_tokenizers.path(VOCABULARY)
+    return pack_documents(table(spark, sf_dir, "documents"), path).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -105,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_source_mix": op9_source_mix,
     "op10_nearest": op10_nearest,
+    "op11_hilbert_packing": op11_hilbert_packing,
 }
 
 _DISTINCT_LINES = """

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ordo.llm import bpe
 from ordo.llm.ann import nearest
+from ordo.llm.hard_negatives import hard_negatives
 from ordo.llm.html_extract import extract_main_text
 from ordo.llm.line_dedup import dedup_lines
 from ordo.llm.minhash_dedup import near_duplicates
@@ -101,6 +102,11 @@ def op11_hilbert_packing(spark: SparkSession, sf_dir: str, vocabulary: str | Non
     return pack_documents(table(spark, sf_dir, "documents"), path).withColumnRenamed("id", "doc_id")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every vector whose id is divisible by 100."""
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -113,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_source_mix": op9_source_mix,
     "op10_nearest": op10_nearest,
     "op11_hilbert_packing": op11_hilbert_packing,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 _DISTINCT_LINES = """
@@ -169,4 +176,23 @@ ORACLE_SQL: dict[str, str] = {
       FROM uses)
     SELECT doc_id, size, source_size, target, CAST(sum(CASE WHEN taken THEN size ELSE 0 END) AS BIGINT) AS taken
     FROM merged GROUP BY ALL""",
+    "op12_hard_negatives": """
+    WITH parts AS (
+      SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+      FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scores AS (
+      SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+      FROM parts a JOIN parts b ON a.id <> b.id AND len(a.v) = len(b.v) WHERE a.id % 100 = 0),
+    positives AS (
+      SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+    SELECT anchor_id, positive_id,
+           CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+           id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scores USING (anchor_id)
+    WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+    QUALIFY rank <= 5""",
 }

@@ -16,6 +16,7 @@ from ordo.llm.line_dedup import dedup_lines
 from ordo.llm.minhash_dedup import near_duplicates
 from ordo.llm.mixing import plan_mix
 from ordo.llm.packing import pack_documents
+from ordo.llm.prefix_trie import prefix_trie
 from ordo.llm.quality_mil import score_quality
 from ordo.llm.quality_rules import judge_texts
 from ordo.llm.secret_scan import scan_secrets, span_digest
@@ -107,6 +108,11 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(table(spark, sf_dir, "embeddings"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the trie of rebuilt conversations."""
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -120,8 +126,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_nearest": op10_nearest,
     "op11_hilbert_packing": op11_hilbert_packing,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
+# CRC-32 of an ASCII text: a byte is taken in, then eight bits are shifted out
+_SQL_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+        string_split({text}, ''), lambda x: list_prepend(CAST(ascii(x) AS BIGINT), list_value(-1, -1, -1, -1, -1, -1, -1, -1))))),
+    lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x)
+                        WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END))"""
+
 _DISTINCT_LINES = """
     SELECT DISTINCT doc_id, source, trim(line) AS line
     FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents)
@@ -195,4 +209,39 @@ ORACLE_SQL: dict[str, str] = {
     FROM positives JOIN scores USING (anchor_id)
     WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
     QUALIFY rank <= 5""",
+    "op13_prefix_trie": rf"""
+    WITH told AS (
+      SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, turn
+      FROM conversations WHERE conv_id IS NOT NULL),
+    turns AS (
+      SELECT c, md5(key) AS k, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+             row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, sha256(key)) AS pos
+      FROM (SELECT *, strlen(role) || ':' || role || text AS key FROM told)),
+    own AS (SELECT c, count(*) AS n, {_SQL_CRC32.format(text="CAST(c AS VARCHAR)")} % 4 AS h FROM turns GROUP BY c),
+    given AS (
+      SELECT own.c, t.pos AS d, t.k, t.words FROM own JOIN turns t ON t.c = own.c - own.c % 20 AND t.pos <= h),
+    convs AS (
+      SELECT own.c, n, h, count(given.c) AS given FROM own LEFT JOIN given ON given.c = own.c GROUP BY ALL),
+    rebuilt AS (
+      SELECT * FROM given UNION ALL
+      SELECT c, given + pos - h, k, words FROM turns JOIN convs USING (c) WHERE pos > h),
+    paths AS (
+      SELECT c, d, words, string_agg(k, '') OVER (PARTITION BY c ORDER BY d) AS path FROM rebuilt
+      UNION ALL SELECT c, 0, 0, '' FROM convs),
+    nodes AS (
+      SELECT path, d, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(words) AS saved
+      FROM paths GROUP BY path, d),
+    kids AS (
+      SELECT substr(path, 1, 32 * (d - 1)) AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+    below AS (
+      SELECT substr(path, 1, 32 * a) AS path, sum(saved) AS saved_tokens, count(*) FILTER (n_children IS NULL) AS n_leaves
+      FROM (SELECT n.*, k.n_children, unnest(range(0, d + 1)) AS a FROM nodes n LEFT JOIN kids k USING (path)) GROUP BY 1),
+    ends AS (
+      SELECT path, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS ends_sha256
+      FROM (SELECT c, arg_max(path, d) AS path FROM paths GROUP BY c) GROUP BY path)
+    SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+           coalesce(n_children, 0) AS n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+           coalesce(ends_sha256, sha256('')) AS ends_sha256
+    FROM nodes n JOIN below USING (path) LEFT JOIN kids USING (path) LEFT JOIN ends USING (path)
+    LEFT JOIN nodes p ON n.d > 0 AND p.path = substr(n.path, 1, 32 * (n.d - 1))""",
 }

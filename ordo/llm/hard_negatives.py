@@ -312,6 +312,7 @@ def hard_negatives(vectors: DataFrame, id_col: str = "vec_id", vector: str = "em
     away = visit(asked, True, POSITIVES, False)
     positives = materialize(_best(home.select("row", "slot", "name", "score").unionByName(away), POSITIVES),
                             "negatives-positives")
+    release(home)
 
     # negatives: one window per positive; ceil(80 p / 100) for p >= 0, none below
     windows = positives.filter(F.col("score") >= 0).select("row", (F.col("rank") - 1).alias("slot"), F.col("score").alias("p"))

@@ -1,0 +1,113 @@
+"""The prefix trie against a plain one."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from plain import WORD
+
+from ordo.llm import prefix_trie as pt
+
+
+def plain(rows):
+    convs = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            key = hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).digest()
+            convs.setdefault(c, []).append((turn is not None, turn or 0, key, role, text))
+    convs = {c: [x[3:] for x in sorted(t)] for c, t in convs.items()}
+    rebuilt = {}
+    for c, own in convs.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        base = c - int(np.fmod(c, 20))
+        rebuilt[c] = tuple(convs.get(base, [])[:h] + own[h:])
+    members = {}
+    for c, t in rebuilt.items():
+        for d in range(len(t) + 1):
+            members.setdefault(t[:d], []).append(c)
+    children, saved, leaves = {}, {}, {}
+    for path in members:
+        if path:
+            children.setdefault(path[:-1], []).append(path)
+    for path in sorted(members, key=len, reverse=True):
+        words = len(WORD.findall(path[-1][1])) if path else 0
+        kids = children.get(path, [])
+        saved[path] = (len(members[path]) - 1) * words + sum(saved[k] for k in kids)
+        leaves[path] = sum(leaves[k] for k in kids) if kids else 1
+    out = []
+    for path, m in members.items():
+        ends = ",".join(str(c) for c in sorted(m) if len(rebuilt[c]) == len(path))
+        out.append((min(m), len(path), min(members[path[:-1]]) if path else None, len(m), len(children.get(path, [])),
+                    leaves[path], saved[path], hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def run(spark, rows, **own):
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], "conv_id bigint, turn bigint, role string, text string, "
+                               "key string, `c.d` string")
+    return sorted((tuple(r) for r in pt.prefix_trie(df, **own).collect()), key=str)
+
+
+def talk(seed, n, kinds=6):
+    r = random.Random(seed)
+    rows = []
+    for c in range(n):
+        for t in range(r.choice([1, 1, 2, 3, 4, 9])):
+            rows.append((c, t, r.choice(["user", "bot"]), " ".join(["hello there"] * r.randint(0, 2)) + str(r.randint(0, kinds))))
+    r.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("shard_turns", [1, 4, 30, 20_000])
+def test_against_plain(spark, shard_turns):
+    """From every prefix an upper node to one bin for all."""
+    rows = talk(1, 150)
+    assert run(spark, rows, shard_turns=shard_turns) == plain(rows)
+
+
+def test_copies_and_long_conversations(spark, monkeypatch):
+    """One conversation in 300 copies, and one far longer than a shard."""
+    monkeypatch.setattr(pt, "CHUNK_BITS", 3)
+    rows = [(c, t, "user", f"turn {t}") for c in range(1000, 1300) for t in range(3)]
+    rows += [(7, t, "user", f"long {t % 5}") for t in range(500)] + talk(2, 40)
+    for shard_turns in (20, 5000):
+        assert run(spark, rows, shard_turns=shard_turns) == plain(rows)
+
+
+def test_nulls_ties_and_odd_ids(spark):
+    rows = [(None, 1, "a", "b"), (3, None, None, "x y"), (3, None, None, "x y"), (3, None, "u", None), (3, 0, "", "x y"), (3, 0, "", "x y"),
+            (-5, 2, "a", "b c"), (-5, 1, "a", "b c"), (-20, 1, "s", "t"), (-21, 1, "a", "b c"), (41, 1, "a", ""), (45, 0, None, ""),
+            (2 ** 62, 1, "a", "b c"), (60, 1, "a", "word " * 50_000), (61, 1, "a", "word " * 50_000)]
+    assert run(spark, rows) == plain(rows)
+    assert run(spark, rows, shard_turns=1) == plain(rows)
+
+
+def test_turnless_and_empty(spark):
+    assert run(spark, []) == [] and run(spark, [(None, 1, "a", "b")]) == []
+    c = next(c for c in range(1, 20) if zlib.crc32(str(c).encode()) % 4 == 3)
+    rows = [(c, 1, "a", "b")]  # its own turns go, and there is no opening to take
+    assert run(spark, rows) == plain(rows)
+    assert run(spark, rows)[0][1:6] == (0, None, 1, 0, 1)
+
+
+def test_double_array():
+    r = np.random.default_rng(5)
+    paths = [r.integers(1, 40, r.integers(1, 7)) for _ in range(2000)]
+    lengths = np.array([len(p) for p in paths])
+    starts = np.r_[0, np.cumsum(lengths)[:-1]]
+    trie, slots = pt.packed_paths(starts, lengths, np.concatenate(paths))
+    node_of = {}
+    for p, s in zip(paths, starts):
+        state = np.array([0])
+        for d in range(len(p)):
+            state = trie.follow(state, p[d:d + 1])
+            assert state[0] == slots[s + d] > 0
+            assert node_of.setdefault(tuple(p[:d + 1]), state[0]) == state[0]
+    assert len(set(node_of.values())) == len(node_of) == (trie.check[1:] >= 0).sum()
+    known = {p[:-1] for p in node_of} | set(node_of)
+    for p in list(known)[:300]:  # no node is reached by a number it has no child for
+        at = np.array([node_of.get(p, 0)])
+        assert [x for x in range(0, 45) if trie.follow(at, np.array([x]))[0] >= 0] == [x for x in range(0, 45) if p + (x,) in node_of]

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -27,18 +28,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordo.llm.tables import materialize, ship
-from ordo.llm.words import TO_LOWER, blocks, mix, span_hashes, word_bounds
+from ordo.llm.words import TO_LOWER, blocks, mix, word_bounds
 
 LENGTH = 2048            # ids of a full sequence
 END = 1                  # id that closes every document
 BUCKETS = 256            # hashed word counts of a document
 DIMS, BITS = 6, 10       # projected dimensions and bits of each in the key (60 bits)
 SEED = 11
-CHUNKS_REMEMBERED = 200_000  # encodings kept by one Python worker,
-CHUNK_CHARS = 32             # of chunks of at most this many characters
+CHUNKS_REMEMBERED = 1_200_000  # encodings kept by one Python worker (some 250 MB),
+CHUNK_CHARS = 32               # of chunks of at most this many characters
+LEARNT_WORDS = 4096            # new words that the library gets in one text
 ENCODED_TEXTS = 256          # texts encoded at a time
 
 _SEQUENCES = 1 << 32     # sequences of one range
+# a word of Latin letters (to U+024F, but for the one whose small form is two characters), punctuation after it
+_WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?]*)")
 
 
 def projection() -> np.ndarray:
@@ -46,10 +50,13 @@ def projection() -> np.ndarray:
 
 
 def word_vectors(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
-    """Unit vectors of signed, dampened hashed word counts; zero without words."""
-    data = TO_LOWER[data]
-    starts, ends, row = word_bounds(offsets, data)
-    h = mix(span_hashes(data, starts, ends))
+    """Unit vectors of signed, dampened hashed counts of words (of their first
+    eight bytes, A-Z as small letters); zero without words."""
+    data = np.concatenate([TO_LOWER[data], np.zeros(8, np.uint8)])
+    starts, ends, row = word_bounds(offsets, data[:-8])
+    heads = np.lib.stride_tricks.as_strided(data, (len(data) - 8, 8), (1, 1))[starts].view("<u8").reshape(-1)
+    spare = 8 * (8 - np.minimum(ends - starts, 8)).astype(np.uint64)
+    h = mix(heads << spare)
     bucket = (h % np.uint64(BUCKETS)).astype(np.int64)
     sign = np.where(h >> np.uint64(63), 1.0, -1.0)
     rows = len(offsets) - 1
@@ -102,9 +109,12 @@ def curve_keys(texts: pa.Array) -> np.ndarray:
 class ChunkEncoder:
     """Ids by the tokenizers library, chunk by chunk.
 
-    The vocabulary's words never hold white space and its normaliser works on
-    one character and the marks after it, so a text may be cut at spaces and line
-    feeds without changing its ids. Chunks repeat, and their ids are remembered."""
+    The vocabulary's words never hold white space, so a text may be cut at spaces
+    and line feeds without changing its ids. Chunks repeat, and their ids are
+    remembered. A new chunk of Latin letters is one word, in small letters to the
+    normaliser, and punctuation after it is another: such words go to the library
+    in one text, and each ends with the token that closes a word. All other chunks
+    go to it as they are."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -116,37 +126,69 @@ class ChunkEncoder:
         # words of letters, of one digit or of other characters but white space; all else is removed
         whole_words = split is not None and split["behavior"] == "Removed" and split["pattern"].get("Regex", "").endswith(
             r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-        spaced = any(set(t["content"]) & {" ", "\n"} or t["lstrip"] or t["rstrip"] or t["single_word"]
-                     for t in spec["added_tokens"])
-        self.cut = steps == ["NFC", "Replace", "Lowercase"] and whole_words and not spaced
+        plain = not any(set(t["content"]) & {" ", "\n"} or t["lstrip"] or t["rstrip"] or t["single_word"] or t["content"].isalpha()
+                        for t in spec["added_tokens"])
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.cut = steps == ["NFC", "Replace", "Lowercase"] and whole_words and plain and bool(suffix)
+        vocab = spec["model"]["vocab"]
+        self.closes = np.zeros(max(vocab.values()) + 1, bool)
+        if self.cut:
+            self.closes[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.coder = Tokenizer.from_file(path)
         self.coder.no_truncation()
         self.coder.no_padding()
         self.known: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.coder.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """Ids of each text, without the closing id. Vocabularies of another kind
-        are encoded as whole texts."""
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.coder.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _words(self, words: list[str]) -> None:
+        """Remember words of small Latin letters."""
+        for at in range(0, len(words), LEARNT_WORDS):
+            some = words[at:at + LEARNT_WORDS]
+            ids = self._ids(" ".join(some))
+            data, ends = ids.tobytes(), (4 * np.flatnonzero(self.closes[ids]) + 4).tolist()
+            self.known.update((w, data[low:high]) for w, low, high in zip(some, [0, *ends[:-1]], ends, strict=True))
+
+    def _learn(self, chunks: list[str]) -> None:
+        known, parts, others = self.known, [], []
+        for c in chunks:
+            word = _WORD.fullmatch(c)
+            if word:
+                parts.append((c, word[1].lower(), word[2]))
+            else:
+                others.append(c)
+        others += {tail for _, _, tail in parts}.difference(known, others)
+        for c, e in zip(others, self.coder.encode_batch_fast(others, add_special_tokens=False)):
+            known[c] = np.array(e.ids, "<u4").tobytes()
+        self._words(list({word for _, word, _ in parts}.difference(known)))
+        known.update([(c, known[word] + known[tail]) for c, word, tail in parts])
+
+    def _encode(self, texts: list[str]) -> Iterator[bytes]:
+        if not self.cut:
+            yield from (self._ids(t).tobytes() for t in texts)
+            return
+        if len(self.known) > CHUNKS_REMEMBERED:
+            self.known.clear()
+        parts = [t.replace("\n", " ").split(" ") for t in texts]
+        new = list(set().union(*parts).difference(self.known))
+        self._learn(new)
+        for p in parts:
+            yield b"".join(map(self.known.__getitem__, p))
+        for chunk in new:
+            if len(chunk) > CHUNK_CHARS:
+                del self.known[chunk]
+
+    def encode(self, texts: list[str], closing: bytes = b"") -> Iterator[np.ndarray]:
+        """Ids of each text and then those of ``closing`` (32-bit, little-endian).
+        Vocabularies of another kind are encoded as whole texts."""
         for at in range(0, len(texts), ENCODED_TEXTS):
             some = texts[at:at + ENCODED_TEXTS]
-            if not self.cut:
-                yield from (np.frombuffer(b, "<u4") for b in self._ids(some))
-                continue
-            if len(self.known) > CHUNKS_REMEMBERED:
-                self.known.clear()
-            parts = [t.replace("\n", " ").split(" ") for t in some]
-            new = list(set().union(*parts).difference(self.known))
-            self.known.update(zip(new, self._ids(new)))
-            for p in parts:
-                yield np.frombuffer(b"".join(map(self.known.__getitem__, p)), "<u4")
-            for chunk in new:
-                if len(chunk) > CHUNK_CHARS:
-                    del self.known[chunk]
+            once = list(dict.fromkeys(some))  # copies lie side by side on the curve
+            found = {t: ids + closing for t, ids in zip(once, self._encode(once), strict=True)}
+            for t in some:
+                yield np.frombuffer(found[t], "<u4")
 
 
 _loaded: dict[str, ChunkEncoder] = {}
@@ -211,12 +253,8 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text: str
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     kind = src.schema["id"].dataType
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(curve_keys(batch.column(1)))],
-                                             ["id", "text", "key"])
-
-    ranged = materialize(ship(src).mapInArrow(keyed, f"id {kind.simpleString()}, text string, key bigint"), "packing")
+    key = F.arrow_udf(lambda t: pa.array(curve_keys(t)), "bigint")
+    ranged = materialize(ship(src).select("*", key("text").alias("key")), "packing")
     salt = F.shiftright(F.monotonically_increasing_id(), 10)  # of the written table; cuts equal rows apart
     order = ["key", "id", "hash"]
     ranged = ranged.select("*", F.xxhash64("text").alias("hash"), salt.alias("salt"))
@@ -228,7 +266,7 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text: str
     def rows(pieces: list[tuple], part: int, id_type: pa.DataType) -> pa.RecordBatch:
         document, start, ids, total, sequence, offset = zip(*pieces)
         columns = [pa.array(document, id_type), pa.array(start, pa.int64()), pa.array([len(i) for i in ids], pa.int64()),
-                   pa.array([zlib.crc32(i.tobytes()) for i in ids], pa.int64()), pa.array(total, pa.int64()),
+                   pa.array([zlib.crc32(i) for i in ids], pa.int64()), pa.array(total, pa.int64()),
                    pa.array([part * _SEQUENCES + s for s in sequence], pa.int64()), pa.array(offset, pa.int64())]
         names = ["id", *(f[0] for f in fields)]
         if with_ids:
@@ -237,7 +275,7 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text: str
         return pa.RecordBatch.from_arrays(columns, names)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, laid, closing = encoder(path), OpenSequences(length), np.array([end], "<u4")
+        coder, laid, closing = encoder(path), OpenSequences(length), np.array([end], "<u4").tobytes()
         part, id_type = 0, pa.null()
         for batch in batches:
             if not batch.num_rows:
@@ -246,8 +284,8 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text: str
             for at in range(0, batch.num_rows, ENCODED_TEXTS):
                 some = batch.slice(at, ENCODED_TEXTS)
                 pieces = []
-                for document, ids in zip(some.column(0).to_pylist(), coder.encode(some.column(1).to_pylist())):
-                    pieces += laid.add(document, np.concatenate([ids, closing]))
+                for document, ids in zip(some.column(0).to_pylist(), coder.encode(some.column(1).to_pylist(), closing)):
+                    pieces += laid.add(document, ids)
                 if pieces:
                     yield rows(pieces, part, id_type)
         if last := laid.close():

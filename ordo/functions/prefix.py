@@ -24,19 +24,13 @@ settles a comparison, never the order.
 
 from __future__ import annotations
 
-import sys
 from collections import Counter
 from dataclasses import dataclass
 
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Ship the sampling function to Python workers by value: executors need no installed copy.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 MAX_TEXTS = 64          # dictionary size
-ROWS_PER_SPLIT = 256    # rows sampled from the start of every input split
 MIN_SHARE = 0.002       # a text must hold at least this share of the sample
 MAX_TEXT_BYTES = 256    # longer texts stay out of the literals of the CASE tree
 _Q_BITS = 47
@@ -73,26 +67,13 @@ def plan_from_sample(rows: list[tuple[str, int]]) -> LeadPlan | None:
     return plan_from_counts(list(counts.items()), len(rows), min(nums), max(nums))
 
 
-def _first_rows(n: int):
-    def run(batches):
-        left = n
-        for batch in batches:
-            yield batch.slice(0, left)
-            left -= batch.num_rows
-            if left <= 0:
-                return  # the rest of the split is not read
-    return run
-
-
-def sample_plan(lines: DataFrame, text_key: Column, number: Column, plain: Column, max_texts: int = MAX_TEXTS,
-                rows_per_split: int = ROWS_PER_SPLIT) -> LeadPlan | None:
-    """Build the plan from the first rows of every input split, so input that is
-    grouped by text is covered as a whole. Spark counts; the driver receives at
-    most ``max_texts`` texts of at most MAX_TEXT_BYTES."""
-    keyed = lines.select(text_key.alias("k"), number.alias("n"), plain.alias("p")).where(
-        F.col("n").isNotNull() & F.col("p") & (F.octet_length("k") <= MAX_TEXT_BYTES)).select("k", "n")
-    sample = keyed.mapInArrow(_first_rows(rows_per_split), "k string, n bigint")
-    counts = sample.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+def sample_plan(sample: DataFrame, text_key: Column, number: Column, plain: Column,
+                max_texts: int = MAX_TEXTS) -> LeadPlan | None:
+    """Build the plan from all rows of ``sample``. Spark counts; the driver receives
+    at most ``max_texts`` texts of at most MAX_TEXT_BYTES."""
+    keyed = sample.select(text_key.alias("k"), number.alias("n"), plain.alias("p")).where(
+        F.col("n").isNotNull() & F.col("p") & (F.octet_length("k") <= MAX_TEXT_BYTES))
+    counts = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi"))
     top = counts.orderBy(F.desc("c"), "k").limit(max_texts)
     rows = top.agg(F.collect_list(F.struct("k", "c")).alias("top"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()
     if not rows["top"]:

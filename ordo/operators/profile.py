@@ -6,11 +6,22 @@ small row per group, so nothing large crosses the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ordo.functions.keys import key_columns_of_line
-from ordo.functions.lines import memory_estimate, parse_number
+from ordo.functions.keys import binary_text_key
+from ordo.functions.lines import memory_estimate, number_of_valid, parse_number, text_slice
+
+# Ship this module's functions to Python workers by value, so executors need
+# no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def input_stats(spark: SparkSession, paths) -> DataFrame:
@@ -36,32 +47,68 @@ def input_stats(spark: SparkSession, paths) -> DataFrame:
     )
 
 
+def _batch_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first and last row of every run in every batch, by Arrow's sort."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        names = rows.schema.names
+        rows = rows.take(pc.sort_indices(rows, sort_keys=[(n, "ascending") for n in names])).combine_chunks()
+        run = pc.fill_null(pc.dictionary_encode(rows["run_id"].combine_chunks()).indices, -1).to_numpy()
+        starts = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
+        last = np.r_[starts[1:], len(run)] - 1
+        for at, is_last in ((starts, False), (last, True)):
+            some = rows.take(pa.array(at))
+            yield from some.append_column("last", pa.array([is_last] * len(at))).to_batches()
+
+
+def _ends(runs: DataFrame, order: str) -> DataFrame:
+    """``run_id, min_line, max_line`` by (text, number, line). Each task reduces its
+    Arrow batches to one first and one last line per run; only these are ranked."""
+    keyed = runs.select("run_id", binary_text_key(text_slice("line"), order).alias("k"), number_of_valid("line").alias("n"), "line")
+    kind = keyed.schema["run_id"].dataType.simpleString()
+    few = keyed.mapInArrow(_batch_ends, f"run_id {kind}, k binary, n bigint, line string, last boolean")
+
+    def best(last: bool, name: str) -> DataFrame:
+        way = F.desc if last else F.asc
+        rank = F.row_number().over(Window.partitionBy("run_id").orderBy(way("k"), way("n"), way("line")))
+        return few.where(F.col("last") == last).select("run_id", F.col("line").alias(name), rank.alias("rank")).where("rank = 1").drop("rank")
+
+    low, high = best(False, "min_line"), best(True, "max_line")
+    return low.join(high, F.equal_null(low["run_id"], high["run_id"])).select(low["run_id"], "min_line", "max_line")
+
+
 def run_profile(runs: DataFrame, run: str = "run_id", line: str = "line",
                 word: str = "Apple", order: str = "ordinal") -> DataFrame:
     """A4 (+V5, V6, P9, F14): per run ``run_id, n, est_bytes, min_line,
     max_line, has_word, avg_bytes``; min/max by the sort order (text, number,
-    line); ``avg_bytes`` is a safe ratio (null for an empty run)."""
-    k = key_columns_of_line(line, order)
-    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(k)])
-    prof = runs.groupBy(F.col(run).alias("run_id")).agg(
+    line); ``avg_bytes`` is a safe ratio (null for an empty run).
+
+    Counts and sums are hash aggregates of fixed-size values. A minimum of strings would
+    make Spark sort all rows by run; the first and last lines are reduced batch by
+    batch instead (``_ends``), which for sorted runs leaves two lines a batch."""
+    r = F.col(run).alias("run_id")
+    prof = runs.groupBy(r).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(memory_estimate(line)).alias("est_bytes"),
-        F.min(key)[f"k{len(k) - 1}"].alias("min_line"),
-        F.max(key)[f"k{len(k) - 1}"].alias("max_line"),
-        F.bool_or(F.col(line).contains(word)).alias("has_word"),
+        F.max(F.col(line).contains(word).cast("int")).cast("boolean").alias("has_word"),
     )
-    return prof.withColumn("avg_bytes", F.try_divide(F.col("est_bytes").cast("double"), F.col("n")))
-
-
-def run_sizes(runs: DataFrame, run: str = "run", line: str = "value", empty: DataFrame | None = None) -> DataFrame:
-    """V5: one row ``runs, empty_runs, max_run_bytes`` (bytes on disk with LF
-    line ends). A run without rows is only known from ``empty`` (``run`` of such
-    files, see ``empty_run_files``) or by a row with a null line in ``runs``."""
-    if empty is not None:
-        runs = runs.select(run, line).unionByName(empty.select(F.col("run").alias(run), F.lit(None).cast("string").alias(line)))
-    per = runs.groupBy(run).agg(F.count(line).alias("n"), F.sum(F.octet_length(line) + 1).alias("bytes"))
-    return per.agg(F.count(F.lit(1)).alias("runs"), F.count_if(F.col("n") == 0).alias("empty_runs"),
-                   F.coalesce(F.max("bytes"), F.lit(0)).cast("bigint").alias("max_run_bytes"))
+    ends = _ends(runs.select(r, F.col(line).alias("line")), order)
+    both = prof.join(ends, F.equal_null(prof["run_id"], ends["run_id"]), "left").select(
+        prof["run_id"], "n", "est_bytes", "min_line", "max_line", "has_word")
+    return both.withColumn("avg_bytes", F.try_divide(F.col("est_bytes").cast("double"), F.col("n")))
+
+
+def run_sizes(manifest: DataFrame, files: DataFrame) -> DataFrame:
+    """V5: one row ``runs, empty_runs, max_run_bytes`` (by the estimate) from what
+    the writing tasks recorded and the listing of the files that have content
+    (``sources.text.run_files``). A run that is empty on disk, or whose file is
+    lost, counts as empty; so does a file that no task recorded."""
+    both = manifest.select("run_id", "n", "est_bytes").join(files.select("run_id", "bytes"), "run_id", "full_outer")
+    whole = (F.coalesce("n", F.lit(0)) > 0) & F.col("bytes").isNotNull()
+    return both.agg(F.count(F.lit(1)).alias("runs"), F.count_if(~whole).alias("empty_runs"),
+                    F.coalesce(F.max("est_bytes"), F.lit(0)).cast("bigint").alias("max_run_bytes"))
 
 
 def count_conservation(before: DataFrame, runs: DataFrame, run: str = "run_id") -> DataFrame:

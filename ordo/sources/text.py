@@ -48,34 +48,50 @@ def read_lines(spark: SparkSession, paths: str | Iterable[str], replace_invalid:
 
     ``replace_invalid`` turns bytes that are not UTF-8 into U+FFFD; otherwise
     such bytes pass through unchanged."""
-    lines = spark.read.text(_paths(paths))
-    return lines.select(F.make_valid_utf8("value").alias("value")) if replace_invalid else lines
+    return spark.read.text(_paths(paths)).select(_valid("value", replace_invalid))
 
 
-def read_runs(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+def _valid(value: str, replace_invalid: bool):
+    return F.make_valid_utf8(value).alias(value) if replace_invalid else F.col(value)
+
+
+def read_runs(spark: SparkSession, paths: str | Iterable[str], replace_invalid: bool = False) -> DataFrame:
     """``run string, value string``; ``run`` is the full path of the run
     file, so runs of the same name in several folders stay apart."""
     return spark.read.text(_paths(paths)).select(
-        F.col("_metadata.file_path").alias("run"), "value"
+        F.col("_metadata.file_path").alias("run"), _valid("value", replace_invalid)
     )
 
 
-def empty_run_files(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
-    """``run`` of every run file without a byte, from file-system metadata only:
-    Spark's own listings leave such files out."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    empty = []
-    for p in _paths(paths):
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        fs = path.getFileSystem(conf)
-        for st in fs.globStatus(path) or []:
-            files = fs.listFiles(st.getPath(), True)
-            while files.hasNext():
-                f = files.next()
-                if f.getLen() == 0 and not f.getPath().getName().startswith(("_", ".")):
-                    empty.append((f.getPath().toString(),))
-    return spark.createDataFrame(empty, "run string")
+MANIFEST = "_manifest"   # beside the runs; readers pass over names with a leading underscore
+MANIFEST_SCHEMA = "run_id string, n bigint, est_bytes bigint"
+
+
+def write_runs(runs: DataFrame, path: str) -> None:
+    """S3: ``run, line`` (runs one after the other in each partition) as one file
+    per run, ``run=K/part-N...``."""
+    runs.select("run", F.col("line").alias("value")).write.mode("overwrite").partitionBy("run").text(path)
+
+
+def write_manifest(spark: SparkSession, path: str, entries: list[tuple[int, int, int, int]]) -> DataFrame:
+    """Keep ``(split, run, rows, estimate)`` of every run beside the runs; what is
+    kept, as ``read_manifest`` gives it."""
+    rows = [(f"run={run}/part-{split:05d}", n, b) for split, run, n, b in entries]
+    spark.createDataFrame(rows, MANIFEST_SCHEMA).write.mode("overwrite").parquet(f"{path}/{MANIFEST}")
+    return read_manifest(spark, path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """``run_id, n, est_bytes`` of every run, as its writing task recorded them."""
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(f"{path}/{MANIFEST}")
+
+
+def run_files(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+    """``run, run_id, bytes`` of every run file with content, by Spark's own
+    listing (no content is read, and files without a byte are not in it)."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_paths(paths))
+    run_id = F.regexp_extract("_metadata.file_path", r"(run=\d+/part-\d+)[^/]*$", 1)
+    return listing.select(F.col("_metadata.file_path").alias("run"), run_id.alias("run_id"), F.col("length").alias("bytes"))
 
 
 def write_lines(df: DataFrame, path: str, column: str = "line", mode: str = "overwrite",
@@ -123,9 +139,10 @@ def with_scan_order(df: DataFrame) -> DataFrame:
     )
 
 
-def read_in_file_order(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+def read_in_file_order(spark: SparkSession, paths: str | Iterable[str], replace_invalid: bool = False) -> DataFrame:
     """``value`` plus the order columns ``file_path, block_start, row_in_split``."""
-    return with_scan_order(spark.read.text(_paths(paths)))
+    scan = with_scan_order(spark.read.text(_paths(paths)))
+    return scan.withColumn("value", F.make_valid_utf8("value")) if replace_invalid else scan
 
 
 def head_of_output(spark: SparkSession, path: str, n: int = 10) -> DataFrame:

@@ -20,6 +20,9 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", ckpt)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.eventLog.enabled", "true")
+        .config("spark.eventLog.compress", "false")
+        .config("spark.eventLog.dir", tempfile.mkdtemp(prefix="ordo-tests-log-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

@@ -48,10 +48,11 @@ def test_generated_like_data_with_sampled_plan(spark):
     from ordo.sources.generator import generate_lines
 
     df = generate_lines(spark, 30_000, seed=5)
-    assert lead_plan(df) is not None
-    got = [r["line"] for r in sort_lines(df, partitions=4).collect()]
+    lead = lead_plan(df)
+    assert lead is not None
+    got = [r["line"] for r in sort_lines(df, partitions=4, plan=lead).collect()]
     assert got == sorted((r["line"] for r in df.collect()), key=oracle_key)
-    plan = sort_lines(df, partitions=4)._jdf.queryExecution().executedPlan().toString()
+    plan = sort_lines(df, partitions=4, plan=lead)._jdf.queryExecution().executedPlan().toString()
     assert "_lead" in plan
 
 

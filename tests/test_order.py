@@ -135,7 +135,7 @@ def test_binary_text_key_orders_like_utf16(spark, texts):
 def test_guard_runs_once_after_the_exchange(lines_df):
     from ordo.functions.lines import NUMBER_GUARD
 
-    out = sort_lines(lines_df(["1. a", "x. b", "2. c"]), "value", partitions=2, lead=False)
+    out = sort_lines(lines_df(["1. a", "x. b", "2. c"]), "value", partitions=2)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count(NUMBER_GUARD) == 1
     assert plan.index("CollectMetrics") < plan.index(NUMBER_GUARD) < plan.index("Exchange rangepartitioning")

@@ -5,7 +5,7 @@ import subprocess
 import sys
 
 from ordo.plans.sort_file import (
-    MIN_BLOCK_BYTES, SAMPLE_BYTES, SORT_EXPANSION, SPILLS, _size_conf, sort_file, sort_sizes, split_and_sort,
+    MIN_BLOCK_BYTES, SORT_EXPANSION, SPILLS, _size_conf, sort_file, sort_sizes, split_and_sort,
 )
 from ordo.sources.text import input_bytes
 
@@ -32,11 +32,10 @@ GB = 1 << 30
 def test_sizes_at_100_tb():
     """Executors of 16 GB with 4 cores: 2.4 GB of execution memory per task."""
     size, memory = 100 << 40, int(2.4 * GB)
-    s = sort_sizes(size, memory, 4000, 128 << 20, line_bytes=150)
+    s = sort_sizes(size, memory, 4000, 128 << 20)
     maps = -(-size // s.split_bytes)
     assert size / (maps * s.partitions) >= 0.99 * MIN_BLOCK_BYTES        # bytes per shuffle block
     assert size / s.partitions * SORT_EXPANSION <= (SPILLS + 1) * memory  # spills per task
-    assert 3 * s.partitions * s.sample_per_partition * 150 <= 3 * SAMPLE_BYTES
 
 
 def test_sizes_are_smooth():
@@ -46,8 +45,7 @@ def test_sizes_are_smooth():
         s = sort_sizes(mb << 20, 2 * GB, 8, 128 << 20)
         assert s.partitions >= last and s.split_bytes >= 128 << 20
         last = s.partitions
-    assert sort_sizes(GB, 2 * GB, 8, 128 << 20, line_bytes=8000, partitions=8).sample_per_partition == 100
-    assert sort_sizes(GB, 2 * GB, 8, 128 << 20, line_bytes=10**6, partitions=1000).sample_per_partition == 1
+    assert sort_sizes(GB, 2 * GB, 8, 128 << 20, partitions=1000).partitions == 1000
 
 
 def test_jobs_leave_the_session_as_it_is(spark, text_file, tmp_path):
@@ -76,6 +74,6 @@ assert r["n"] == 40000 and r["total_order"], r
 
 
 def test_long_lines_fit_the_driver(tmp_path):
-    """The sampled range keys of 8,000-character lines stay under a 24 MB result limit."""
+    """The sampled lines of 8,000-character lines stay under a 24 MB result limit."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     subprocess.run([sys.executable, "-c", LONG_LINES, str(tmp_path)], check=True, cwd=root, timeout=300)

@@ -7,10 +7,11 @@ the small table, and add each partition's offset to the row's index within
 the partition. The per-partition table is small (one row per partition); Spark
 broadcasts it if its size allows.
 
-The counts and the rows must come from the same execution: range bounds are
-sampled, so two runs of one sort may cut at different places. Hence the
-sorted result is materialised first (a reliable checkpoint in the shared
-folder, or files already written and read back in file order).
+The counts and the rows must come from the same execution: a sort may cut
+differently when it runs again. Hence the sorted result is written first, once, as
+Parquet in the shared folder: every row with its place in its partition, which
+is all the read-back needs. Only that column is read to count, and no row is
+shuffled or checkpointed. The folder goes when the application ends.
 """
 
 from __future__ import annotations
@@ -18,21 +19,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordo.session import shared_dir
+from ordo.session import scratch_path, shared_dir
 
+PLACE_BITS = 33   # of monotonically_increasing_id: the row within its partition
+
+
+def _offsets(groups: DataFrame, group_cols: list[str], order_by) -> DataFrame:
+    """Rows before each group (``_n`` rows each): a prefix sum over a small table,
+    materialised so its row count is known before choosing the join."""
+    w = Window.orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+    return groups.select(*group_cols, "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset")).checkpoint(eager=True)
 
 
 def _attach_offsets(df: DataFrame, group_cols: list[str], row_col: str, order_by=None) -> DataFrame:
     groups = df.groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("_n"), F.min(row_col).alias("_first")
     )
-    # Prefix sum over the small per-group table (one row per partition/split),
-    # materialised so its row count is known before choosing the join.
-    w = Window.orderBy(*(order_by or group_cols)).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = groups.select(
-        *group_cols, "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset")
-    ).checkpoint(eager=True)  # a checkpointed table has a known size: Spark chooses the join
-    return df.join(offsets, group_cols).withColumn(
+    return df.join(_offsets(groups, group_cols, order_by or group_cols), group_cols).withColumn(
         "pos", F.col("_offset") + (F.col(row_col) - F.col("_first")) + F.lit(1)
     ).drop("_offset", "_first")
 
@@ -41,15 +44,12 @@ def with_position(sorted_df: DataFrame, name: str = "pos") -> DataFrame:
     """Add a 1-based ``pos`` to a range-partitioned, partition-sorted result
     (for example the output of ``sort_lines``)."""
     spark = sorted_df.sparkSession
-    shared_dir(spark)
-    fixed = sorted_df.checkpoint(eager=True)  # reliable: written to the shared folder
-    tagged = fixed.select(
-        "*",
-        F.spark_partition_id().alias("_part"),
-        F.monotonically_increasing_id().alias("_mid"),
-    )
-    out = _attach_offsets(tagged, ["_part"], "_mid").drop("_part", "_mid")
-    return out.withColumnRenamed("pos", name) if name != "pos" else out
+    path = scratch_path(spark, "positions")
+    placed = sorted_df.select(F.struct("*").alias("_row"), F.monotonically_increasing_id().alias("_place"))
+    placed.write.parquet(path)
+    rows = spark.read.schema(placed.schema).parquet(path).withColumn("_part", F.shiftright("_place", PLACE_BITS))
+    out = _attach_offsets(rows, ["_part"], "_place")
+    return out.select("_row.*", F.col("pos").alias(name))
 
 
 def position_in_files(ordered: DataFrame, name: str = "pos") -> DataFrame:

@@ -57,8 +57,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-path of the shared folder for one written intermediate."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh sub-path of the shared folder for one written intermediate. The
+    folder is this application's own; the file system deletes it when the driver ends."""
+    folder = shared_dir(spark)
+    sc = spark.sparkContext
+    own = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    own.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(own)
+    return os.path.join(folder, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
 def derived_session(spark: SparkSession, settings: dict[str, str]) -> SparkSession:

@@ -41,10 +41,10 @@ _SUMMARY_ARROW = pa.schema([
 ])
 
 
-def _keyed_scan(spark: SparkSession, paths, order: str) -> DataFrame:
-    scan = read_in_file_order(spark, paths).where(parse_number("value").isNotNull())
+def _keyed_scan(spark: SparkSession, paths, order: str, replace_invalid: bool) -> DataFrame:
+    scan = read_in_file_order(spark, paths, replace_invalid).where(parse_number("value").isNotNull())
     return scan.select(
-        F.xxhash64("_metadata.file_path").alias("file_id"), "block_start",
+        F.xxhash64("file_path").alias("file_id"), "block_start",
         binary_text_key(text_slice("value"), order).alias("k"), number_of_valid("value").alias("n"),
     )
 
@@ -119,16 +119,17 @@ def _file_names(spark: SparkSession, paths) -> DataFrame:
     )
 
 
-def check_sorted(spark: SparkSession, paths, order: str = "ordinal") -> DataFrame:
+def check_sorted(spark: SparkSession, paths, order: str = "ordinal", replace_invalid: bool = False) -> DataFrame:
     """V1 (+A3): per file ``file_name, file_index, n, violations, follows_previous``.
 
     ``violations`` counts adjacent pairs within the file that are out of
     (text, number) order (lines equal on both may come in any order).
     ``follows_previous`` is false when the file's first row sorts before the
     previous file's last row (files ordered by part number, then name), which
-    breaks a total order across files. Rows carry a 64-bit hash of their file
+    breaks a total order across files. ``replace_invalid`` compares texts with U+FFFD in
+    place of bytes that are not UTF-8. Rows carry a 64-bit hash of their file
     path, not its name; names join back on the per-file table."""
-    splits = _keyed_scan(spark, paths, order).mapInArrow(_split_summaries, SPLIT_SUMMARY_SCHEMA)
+    splits = _keyed_scan(spark, paths, order, replace_invalid).mapInArrow(_split_summaries, SPLIT_SUMMARY_SCHEMA)
     # Small tables from here on: one row per split, then one per file.
     w_split = Window.partitionBy("file_id").orderBy("block_start")
     splits = splits.withColumn(
@@ -162,18 +163,31 @@ def sorted_summary(checked: DataFrame) -> DataFrame:
     )
 
 
-def order_equal(actual: DataFrame, expected: DataFrame) -> DataFrame:
+POSITION_BLOCK = 1 << 16   # positions under one digest
+
+
+def order_equal(actual: DataFrame, expected: DataFrame, block: int = POSITION_BLOCK) -> DataFrame:
     """V2: compare two ``(pos, line)`` results; one row ``n_actual, n_expected,
-    mismatches`` (a full outer join on ``pos``: both sides hash-partition by
-    position, no side is collected)."""
-    a = actual.select("pos", F.col("line").alias("a"))
-    e = expected.select("pos", F.col("line").alias("e"))
-    j = a.join(e, "pos", "full_outer")
-    return j.agg(
-        F.count("a").alias("n_actual"),
-        F.count("e").alias("n_expected"),
-        F.count_if(~F.equal_null(F.col("a"), F.col("e"))).alias("mismatches"),
-    )
+    mismatches``.
+
+    Each side is first summed up by blocks of positions: rows, and the exact sum of
+    128 bits of hashes of (pos, line), by map-side aggregation; no row is
+    shuffled. Rows meet (joined by position) only in blocks whose sums differ. Both
+    sides are read a second time for these blocks, so they should be files or
+    checkpoints, not plans that sort again."""
+    def sums(df: DataFrame, side: str) -> DataFrame:
+        digest = lambda seed: F.sum(F.xxhash64(F.lit(seed), "pos", "line").cast("decimal(38,0)"))
+        return df.groupBy(F.floor(F.col("pos") / block).alias("b")).agg(
+            F.count(F.lit(1)).alias(f"n_{side}"), F.struct(F.count(F.lit(1)), digest(1), digest(2)).alias(side))
+
+    both = sums(actual, "a").join(sums(expected, "e"), "b", "full_outer")
+    differ = both.where(~F.equal_null(F.col("a"), F.col("e"))).select("b")
+    rows = lambda df, name: df.withColumn("b", F.floor(F.col("pos") / block)).join(
+        differ, "b", "left_semi").select("pos", F.col("line").alias(name))
+    wrong = rows(actual, "x").join(rows(expected, "y"), "pos", "full_outer").agg(
+        F.count_if(~F.equal_null(F.col("x"), F.col("y"))).alias("mismatches"))
+    counts = both.agg(F.coalesce(F.sum("n_a"), F.lit(0)).alias("n_actual"), F.coalesce(F.sum("n_e"), F.lit(0)).alias("n_expected"))
+    return counts.join(wrong)  # one-row tables
 
 
 def format_check(df: DataFrame, line: str = "line") -> DataFrame:

@@ -8,11 +8,10 @@ import pytest
 from oracle import oracle_key
 from ordo import jobs
 from ordo.operators.position import position_in_files
-from ordo.operators.profile import run_sizes
 from ordo.operators.sort import first_lines
 from ordo.operators.validate import check_sorted, sorted_summary
 from ordo.session import derived_session
-from ordo.sources.text import empty_run_files, head_of_output, read_in_file_order, read_lines, read_runs
+from ordo.sources.text import head_of_output, read_in_file_order, read_lines, read_runs, run_files
 
 
 @pytest.mark.parametrize("name", ["plain", "a b", "a%20c", "a#c", "100%", "ü x"])
@@ -44,15 +43,7 @@ def test_positions_and_runs_with_equal_names(spark, tmp_path):
         ["1. a", "2. b", "3. c", "4. d", "5. e", "6. f"], 1))
     runs = read_runs(spark, paths)
     assert runs.select("run").distinct().count() == 2
-    s = run_sizes(runs).first()
-    assert (s["runs"], s["empty_runs"], s["max_run_bytes"]) == (2, 0, 15)
-
-
-def test_empty_run_file_is_counted(spark, tmp_path):
-    for name, lines in (("part-00000.txt", "1. a\n2. b\n"), ("part-00001.txt", ""), ("part 2.txt", "3. c\n")):
-        (tmp_path / name).write_text(lines)
-    s = run_sizes(read_runs(spark, str(tmp_path)), empty=empty_run_files(spark, str(tmp_path))).first()
-    assert (s["runs"], s["empty_runs"], s["max_run_bytes"]) == (3, 1, 10)
+    assert sorted((r["run"].rsplit("/", 2)[1], r["bytes"]) for r in run_files(spark, paths).collect()) == [("a", 15), ("b", 15)]
 
 
 def test_invalid_utf8(spark, text_file):
@@ -63,6 +54,31 @@ def test_invalid_utf8(spark, text_file):
     assert got == ["1. ok", "2. �� bad", "3. café �"]
 
 
+def test_invalid_utf8_in_every_job(spark, tmp_path, capsys):
+    """Bytes that are not UTF-8, long malformed sequences among them, become U+FFFD in
+    sorted files, runs and merges exactly as the decoder of the platform does it."""
+    bad = [b"7. \xff\xfe bad", b"3. caf\xc3\xa9 \xe2\x82", b"5. " + b"\xf0\x9f" * 5000, b"2. \xed\xa0\x80\xc0\xaf",
+           b"9. \xf4\x90\x80\x80 z", b"1. ok", b"4. \x80" * 3, b"6. " + b"\xe2\x82" * 700 + b"\xac"]
+    raw = str(tmp_path / "raw.txt")
+    open(raw, "wb").write(b"\n".join(bad) + b"\n")
+    want = sorted((x.decode("utf-8", "replace") for x in bad), key=oracle_key)
+
+    def written(folder):
+        return [x for d, _, fs in sorted(os.walk(folder)) for f in sorted(fs) if f.startswith("part-") and "_manifest" not in d
+                for x in open(os.path.join(d, f), "rb").read().decode("utf-8").splitlines()]
+    job = lambda *a: jobs.run(spark, jobs.arguments([*a, "--replace-invalid"]))
+    out, runs, merged = (str(tmp_path / x) for x in ("out", "runs", "merged"))
+    assert job("sort", "--input", raw, "--output", out) == 0 and written(out) == want
+    assert job("split", "--input", raw, "--output", runs, "--chunk-megabytes", "0.0001") == 0
+    assert sorted(written(runs)) == sorted(want) and "rows 8" in capsys.readouterr().out
+    assert job("merge", "--input", runs, "--output", merged) == 0 and written(merged) == want
+    assert job("check", "--input", merged) == 0
+    # left alone, the bytes pass through
+    assert jobs.run(spark, jobs.arguments(["sort", "--input", raw, "--output", out + "2"])) == 0
+    assert sorted(x for f in os.listdir(out + "2") if f.startswith("part-")
+                  for x in open(os.path.join(out + "2", f), "rb").read().split(b"\n") if x) == sorted(bad)
+
+
 def test_first_lines(spark, text_file):
     p = text_file([f"{i}. x" for i in range(100)])
     got = [r["line"] for r in first_lines(read_lines(spark, p), 7).collect()]

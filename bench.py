@@ -85,12 +85,12 @@ def main() -> None:
 
     out = lambda tag, i: os.path.join(work, f"{tag}-{i}")
 
-    timed("sort_lineitem", lambda i: sort_file(spark, li_txt, out("li-sorted", i), with_stats=False))
+    timed("sort_lineitem", lambda i: sort_file(spark, li_txt, out("li-sorted", i)))
     last = {}
 
     def sort_gen(i):
         last["gen"] = out("gen-sorted", i)
-        sort_file(spark, gen_txt, last["gen"], with_stats=False)
+        sort_file(spark, gen_txt, last["gen"])
     timed("sort_generated", sort_gen)
     timed("top10", lambda i: top_lines(read_lines(spark, li_txt), 10, line="value").collect())
 

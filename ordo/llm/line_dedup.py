@@ -6,11 +6,11 @@ shuffle, so a line on a third of all documents costs one small sketch per map
 task. The estimate decides alone only outside a band around the threshold;
 lines inside it get an exact distinct count. Then the boilerplate lines go.
 
-A document of which most characters stand in such lines (``max_share``) is left
-whole for the document-level stage if it is a copy of a whole page: its lines
-also stand in another row, all of them or all but one small line on either side.
-From every other document the lines go whatever their share. SQL of op2 leaves
-every document over the share whole; ``copies_only=False`` does the same.
+They leave every document, whatever share of it they are. With ``keep_copies``
+(for a pipeline that groups whole copies later) a copied page stays whole for the
+document-level stage: more than ``max_share`` of its characters stand in such
+lines, and its lines also stand in another row, all of them or all but one small
+line on either side.
 """
 
 from __future__ import annotations
@@ -72,20 +72,22 @@ def _copies(held: DataFrame, max_share: float, edit: float = EDIT) -> DataFrame:
         "k1", "k2", (F.col("size") - F.col("x.h").isNotNull().cast("int")).alias("size"),
         (F.col("total") - F.coalesce("x.h", F.lit(0))).cast(number).alias("total")), "line-copies")
     same = ["size", "total"]
-    shared = posted.groupBy(*same).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
-    return posted.join(shared.select(*same), same, "left_semi").select("k1", "k2").distinct()
+    # written first: the join then shuffles both sides anew, and Spark can split a posting of many copies
+    shared = materialize(posted.groupBy(*same).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select(*same), "line-shared")
+    return posted.join(shared, same, "left_semi").select("k1", "k2").distinct()
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", site: str = "source",
                 min_sites: int = MIN_SITES, lg_k: int = LG_K, band: float = BAND,
-                max_share: float = MAX_SHARE, copies_only: bool = True) -> DataFrame:
+                max_share: float = MAX_SHARE, keep_copies: bool = False) -> DataFrame:
     """``row`` (the input row as a struct), ``n_lines``, ``n_removed`` and
-    ``clean_text``. Documents over ``max_share`` stay whole if they are copies,
-    without ``copies_only`` all of them.
+    ``clean_text``. ``keep_copies`` leaves copied pages whole (see above).
 
     Null text: no lines, text stays null. An empty text is one empty line. Lines without a
-    character other than spaces are never removed. Repeated rows are treated alike;
-    repeated lines of one document all go. An empty table gives no rows."""
+    character other than spaces are never removed. Texts of any length are taken
+    whole. Repeated rows are treated alike; repeated lines of one document all go.
+    Columns of ``docs`` travel in a struct, so no name of theirs clashes. An empty
+    table gives no rows."""
     # a document is known by its id and its text, so null and repeated ids are no special case
     keys = [F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("k1"),
             F.coalesce(F.xxhash64(F.col(text)), F.lit(0)).alias("k2")]
@@ -99,16 +101,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sit
     spare = lambda line: ~F.coalesce(F.array_contains("found", _line_hash(line)), F.lit(False))
     chars = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda n, x: n + F.length(x))
     rest, every = F.filter(_lines(text), spare), _lines(text)
-    found = found.withColumn("copy", F.lit(not copies_only))
-    if copies_only:
+    found = found.withColumn("copy", F.lit(False))
+    if keep_copies:
         line = F.transform(every, lambda x: F.struct(_line_hash(x).alias("h"), F.length(F.trim(x)).alias("n")))
         share = 1 - F.try_divide(chars(rest), chars(every))
         parted = docs.select(*keys, text).join(found, ["k1", "k2"]).select(
             "k1", "k2", F.filter(line, lambda x: x["h"].isNotNull()).alias("lines"), share.alias("share"))
         copies = _copies(parted, max_share).withColumn("copied", F.lit(True))
-        found = found.join(copies, ["k1", "k2"], "left").select(
+        found = found.drop("copy").join(copies, ["k1", "k2"], "left").select(
             "k1", "k2", "found", F.coalesce("copied", F.lit(False)).alias("copy"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"), *keys)
+    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), *keys)
     rows = rows.join(found, ["k1", "k2"], "left")
     parted = rows.select("row", "text", "copy", _lines("text").alias("all"),
                          F.when(F.col("found").isNotNull(), F.filter(_lines("text"), spare)).alias("rest"))

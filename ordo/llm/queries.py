@@ -33,9 +33,8 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boilerplate lines (on 10 or more sources) removed from every document of
-    which they are at most half; the SQL below leaves the others whole."""
-    return dedup_lines(table(spark, sf_dir, "documents"), copies_only=False).selectExpr(
+    """Boilerplate lines (on 10 or more sources) removed from every document."""
+    return dedup_lines(table(spark, sf_dir, "documents")).selectExpr(
         "row.doc_id AS doc_id", "n_lines", "n_removed", "clean_text AS text")
 
 
@@ -154,12 +153,11 @@ ORACLE_SQL: dict[str, str] = {
       FROM lines l LEFT JOIN spread s ON trim(l.line) = s.line),
     per AS (
       SELECT doc_id, count(*) AS n_lines, count(*) FILTER (hit) AS hits,
-             coalesce(sum(length(line)) FILTER (NOT hit), 0) >= 0.5 * sum(length(line)) AS cut,
              coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT hit), '') AS rest
       FROM marked GROUP BY doc_id)
     SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines,
-           CASE WHEN cut THEN hits ELSE 0 END AS n_removed,
-           CASE WHEN cut AND hits > 0 THEN rest ELSE d.text END AS text
+           coalesce(hits, 0) AS n_removed,
+           CASE WHEN hits > 0 THEN rest ELSE d.text END AS text
     FROM documents d LEFT JOIN per USING (doc_id)""",
     "op9_source_mix": r"""
     WITH sized AS (

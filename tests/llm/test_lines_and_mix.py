@@ -11,7 +11,7 @@ from ordo.llm.line_dedup import dedup_lines, spread_lines
 from ordo.llm.mixing import mix_sources, plan_mix, source_targets
 
 
-def plain_dedup(rows, min_sites, max_share=0.5):
+def plain_dedup(rows, min_sites):
     sites = {}
     for _, t, s in rows:
         for line in (t or "").split("\n") if t is not None else []:
@@ -24,10 +24,7 @@ def plain_dedup(rows, min_sites, max_share=0.5):
             continue
         lines = t.split("\n")
         rest = [x for x in lines if len(sites.get(x.strip(" "), ())) < min_sites]
-        if len(rest) < len(lines) and sum(map(len, rest)) >= (1 - max_share) * sum(map(len, lines)):
-            out.append((d, len(lines), len(lines) - len(rest), "\n".join(rest)))
-        else:
-            out.append((d, len(lines), 0, t))
+        out.append((d, len(lines), len(lines) - len(rest), "\n".join(rest)))
     return out
 
 
@@ -69,12 +66,21 @@ def test_only_copies_stay_whole(make_docs):
     rows += [(100 + i, f"{foot}\nOwn {i} {i * 7919} {prose(i, 3)}", f"t{i}") for i in range(12)]   # pages with a long foot
     rows += [(200, "\n".join([foot] * 3 + ["Only text"]), "t1"), (201, foot, "t2")]
     got = {r["doc_id"]: (r["n_removed"], r["clean_text"]) for r in
-           dedup_lines(make_docs(rows), min_sites=10).selectExpr("row.doc_id", "n_removed", "clean_text").collect()}
+           dedup_lines(make_docs(rows), min_sites=10, keep_copies=True).selectExpr("row.doc_id", "n_removed", "clean_text").collect()}
     for d, t, _ in rows:
         lines = t.split("\n")
         want = [x for x in lines if x != foot]
         assert got[d] == (len(lines) - len(want), "\n".join(want)), d
+    plain = {d: (n, t) for d, _, n, t in plain_dedup(rows, 10)}
+    got = {r["doc_id"]: (r["n_removed"], r["clean_text"]) for r in
+           dedup_lines(make_docs(rows), min_sites=10).selectExpr("row.doc_id", "n_removed", "clean_text").collect()}
+    assert got == plain and plain[3] == (8, "") and plain[201] == (1, "")  # without it, from every document
+
 
+def test_dotted_and_ticked_names(spark):
+    df = spark.createDataFrame([(1, "a\nb", "s", 5, 6)], "doc_id bigint, text string, source string, `a.b` int, `c``d` int")
+    assert dedup_lines(df).select("row.*").first().asDict() == df.first().asDict()
+    assert mix_sources(df).columns == df.columns
 
 def test_lines_messy_and_empty(messy, make_docs):
     docs, rows = messy
@@ -86,7 +92,7 @@ def test_lines_messy_and_empty(messy, make_docs):
 
 def test_no_python_in_native_plans(messy):
     docs, _ = messy
-    for df in (dedup_lines(docs), plan_mix(docs), mix_sources(docs)):
+    for df in (dedup_lines(docs), dedup_lines(docs, keep_copies=True), plan_mix(docs), mix_sources(docs)):
         assert not re.search("Python|Arrow|Pandas", df._jdf.queryExecution().toString())
 
 

@@ -115,13 +115,15 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sou
     """The mix itself: the rows of ``docs``, each as often as the plan uses it,
     in no order (``plan_mix`` has the numbers).
 
-    Rows that agree in id, source, size and key share their uses evenly."""
+    Rows that agree in id, source, size and key share their uses evenly. Nulls,
+    empty and very long texts (counted whole) and empty tables are as in ``plan_mix``;
+    clashing column names cannot arise."""
     plan = plan_mix(docs, id_col, text, source, **parameters)
     same = ["doc_id", "source", "key", "size"]
     uses = plan.groupBy(*same).agg(F.sum("copies").alias("uses"), F.count(F.lit(1)).alias("rows")).filter("uses > 0")
     uses = uses.withColumnsRenamed({c: f"u_{c}" for c in same})
     # the caller's columns travel in one struct, so their names cannot clash
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc_id"),
+    keyed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"),
                         F.col(source).alias("source"), _shuffle_key(id_col, text).alias("key"),
                         word_count(text).alias("size"))
     rows = keyed.join(uses, [F.col(c).eqNullSafe(F.col(f"u_{c}")) for c in same])

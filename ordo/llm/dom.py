@@ -2,7 +2,9 @@
 
 Inline markup belongs to the text around it. Every run of text is one leaf; a
 block that holds nothing but one run is that leaf itself. Scripts, styles,
-titles, form fields and other elements without running text are skipped.
+titles, form fields and other elements without running text are skipped; labels
+of buttons, formulas and what stands in for an object are text. Reading takes time in
+proportion to the page, however it is broken.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 
 import numpy as np
 
@@ -23,10 +26,11 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 # HTML element kinds.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rp rt s samp small span "
-    "strike strong sub sup time tt u var wbr".split())
+    "strike strong sub sup time tt u var wbr button object math mi mo mn ms mtext mrow msup msub msubsup mfrac msqrt "
+    "mroot mstyle mpadded mover munder munderover mtable mtr mtd merror semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript iframe noembed noframes xmp template svg math select object "
-                "canvas audio video button".split())
+RAW = frozenset("script style title textarea noscript iframe noembed noframes xmp template svg select canvas audio video "
+                "annotation annotation-xml".split())
 ENDS_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
@@ -80,6 +84,9 @@ class Page:
     def _read(self, source: str) -> None:
         stack, run, pieces, link = [0], -1, [], 0
         at, size, head = 0, len(source), False
+        last = source.rfind(">")       # no tag begins after it
+        unclosed: set[str] = set()     # elements of which no end tag lies ahead
+        opened: Counter[str] = Counter()
 
         def close_run() -> None:
             nonlocal run
@@ -89,16 +96,19 @@ class Page:
                 run = -1
 
         def pop_to(names, stop=frozenset()) -> None:
+            if not any(opened[x] for x in names):
+                return
             for i in range(len(stack) - 1, 0, -1):
                 if self.tag[stack[i]] in names:
                     close_run()
+                    opened.subtract(self.tag[x] for x in stack[i:])
                     del stack[i:]
                     return
                 if self.tag[stack[i]] in stop:
                     return
 
         while at < size:
-            m = _TOKEN.search(source, at)
+            m = _TOKEN.search(source, at) if at <= last else None
             piece = source[at:m.start()] if m else _OPEN.split(source[at:], maxsplit=1)[0]
             head = head and (not piece or piece.isspace())  # text ends a head that nothing closed
             if piece and not head:
@@ -118,7 +128,11 @@ class Page:
                 tag = tag.lower()
                 head = head and tag in HEAD
                 if tag in RAW:
-                    end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(source, at)
+                    end = None
+                    if tag not in unclosed and at <= last:
+                        end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(source, at)
+                        if end is None:
+                            unclosed.add(tag)
                     if not (m["attr"] or "").endswith("/"):
                         at = end.end() if end else (size if tag in ("script", "style") else at)
                 elif tag == "head":
@@ -146,6 +160,7 @@ class Page:
                     if ' k="' in attr:
                         self.mark[node] = attr.split(' k="')[1][:1]
                     stack.append(node)
+                    opened[tag] += 1
             elif m["end"]:
                 tag = m["end"].lower()
                 if tag in ("head", "body", "html"):

@@ -283,8 +283,10 @@ def extract_main_text(pages: DataFrame, html: str = "html", fit_pages: int = FIT
     """``row`` (the input row as a struct) and ``main_text`` for every page.
 
     A null or empty page, and one without running text, has an empty text.
-    Repeated rows are extracted alike; an empty table gives no rows. If no sampled
-    page has text, the trees are fitted on layouts of a fixed article."""
+    Repeated rows are extracted alike; an empty table gives no rows. Pages of any length are
+    read whole, in time in proportion to it. Columns of ``pages`` travel in a
+    struct, so no name of theirs clashes. If no sampled page has text, the trees are
+    fitted on layouts of a fixed article."""
     source = F.col(html).cast("string")
     held = pages.select(source.alias("s"), F.xxhash64(source).alias("h"),
                         (F.octet_length(source) > fit_bytes).alias("long")).filter(F.octet_length("s") > 0)
@@ -294,7 +296,7 @@ def extract_main_text(pages: DataFrame, html: str = "html", fit_pages: int = FIT
     found = found.groupBy("long", "h").agg(F.min(F.substring("s", 1, fit_bytes)).alias("s")).orderBy("long", "h")
     sample = [r["s"] for r in found.collect()]  # at most fit_pages of fit_bytes characters
     trees = (fit_trees(sample) or fit_trees([PLAIN_PAGE])) if sample else None
-    rows = pages.select(F.struct(*pages.columns).alias("row"), source.alias("s"))
+    rows = pages.select(F.struct("*").alias("row"), source.alias("s"))
     if trees is None:
         return rows.select("row", F.lit("").alias("main_text"))
 

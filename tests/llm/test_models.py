@@ -1,12 +1,14 @@
 """Quality classifier, main-text extraction and nearest neighbours."""
 
+import time
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
 from plain import prose
 
-from ordo.llm import ann, html_extract, quality_mil
+from ordo.llm import ann, dom, html_extract, quality_mil
 from ordo.llm.dom import Page, decode
 
 
@@ -113,6 +115,67 @@ def test_head_without_an_end():
         assert read(f"{head}{end}a <b>b</b>") == ["a b"]
 
 
+BROKEN = ("a <b ", "<button>", "<p><i x='", "</p><div>", "<select>x", '<a "', "<!-", "<svg></sv", "<li></ul>", "&am", "<td><div></td>")
+
+
+@pytest.mark.parametrize("piece", BROKEN)
+def test_reader_takes_linear_time(piece):
+    """Pages of a megabyte that repeat one broken piece."""
+    for source in (piece * (2 ** 20 // len(piece)), "<div><p>" + piece * (2 ** 20 // len(piece)) + ">"):
+        start = time.perf_counter()
+        Page(source)
+        assert time.perf_counter() - start < 8
+
+
+def test_labels_and_formulas_are_text():
+    page = Page("<article><p>Press <button>Save</button> to keep <math><mi>x</mi><mo>=</mo><mn>2</mn></math>, or "
+                "<object data=a>see here</object>.</p><script>no()</script><style>p{}</style></article>")
+    assert [page.text[i] for i in page.nodes() if page.text[i]] == ["Press Save to keep x=2, or see here."]
+
+
+class PlainReader(HTMLParser):
+    """Runs of text between block tags, by the standard library's parser."""
+
+    def __init__(self, source):
+        super().__init__(convert_charrefs=True)
+        self.runs, self.now, self.skipped = [], [], 0
+        self.feed(source)
+        self.close()
+        self.cut()
+
+    def cut(self):
+        text = " ".join("".join(self.now).split())
+        self.runs += [text] if text else []
+        self.now = []
+
+    def handle_starttag(self, tag, attrs):
+        self.skipped += tag in dom.RAW
+        if tag == "br":
+            self.now.append(" ")
+        elif tag not in dom.INLINE and tag not in dom.RAW and tag != "input":
+            self.cut()
+
+    def handle_endtag(self, tag):
+        self.skipped -= tag in dom.RAW
+        if tag not in dom.INLINE and tag not in dom.RAW:
+            self.cut()
+
+    def handle_data(self, data):
+        if not self.skipped:
+            self.now.append(data)
+
+
+def test_blocks_against_the_standard_parser():
+    """Order, character references and white space of all blocks of all kinds of pages."""
+    texts = [[prose(100 * n + k, 30) + " &amp;lt; café &#8364; a&nbsp;b" for k in range(6)] for n in range(30)]
+    made = html_extract.Layouts([[t.replace("&", "and") for t in x] for x in texts], seed=3)
+    pages = [made.page(x) for x in texts for _ in range(4)]
+    pages += [site_page(n)[0] for n in range(30)] + [p.replace("<p", "  <p").replace("</p>", "</p>\r\n\t<br><script>var a = '<p>';</script>") for p in pages]
+    for source in pages:
+        page = Page(source)
+        assert [page.text[i] for i in page.nodes() if page.text[i]] == PlainReader(source).runs
+
+
 def test_decoding_is_consistent():
     p = Page("<div>a<p>b</p><p>c</p></div><div><p>d</p></div>")
     order = p.nodes()
@@ -183,7 +246,8 @@ def brute(vectors, queries, k=5):
 
 def test_recall(spark, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK_VECTORS", 700)
-    monkeypatch.setattr(ann, "BLOCK_QUERIES", 16)
+    monkeypatch.setattr(ann, "STRIPE", 16)
+    monkeypatch.setattr(ann, "SEARCHED", 7)
     r = np.random.default_rng(3)
     centre = r.standard_normal((12, 32))
     vectors = {i: centre[i % 12] + 0.8 * r.standard_normal(32) for i in range(3000)}

@@ -179,7 +179,8 @@ def _sort_out(rows: DataFrame, bucket: str, columns: list[str]) -> tuple[DataFra
         F.count(F.lit(1)).alias("n"), F.min(F.struct(*columns)).alias("r")), "names")
     whole = rows.join(named.filter("n > 1").select(bucket, "name"), [bucket, "name"], "left_semi")
     mixed = named.groupBy(bucket).agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("n")).filter("m > 1 and n = 1")
-    return named, whole, named.join(mixed.select(bucket), bucket, "left_semi").select(bucket, "r.*")
+    mixed = materialize(mixed.select(bucket), "mixed-buckets")  # as at level 0: a hot bucket can be split
+    return named, whole, named.join(mixed, bucket, "left_semi").select(bucket, "r.*")
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
@@ -216,8 +217,9 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     twice = windows.groupBy("shared", "window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     single = windows.join(twice.select("shared", "window"), ["shared", "window"], "left_semi").select(
         "k1", "k2", "start", (F.col("start") + LENGTH).alias("end"))
-    spans = materialize(done.unionByName(more).unionByName(single).groupBy("k1", "k2").agg(
-        F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
+    # rows that share a key are one text, whose spans count once
+    found = done.unionByName(more).unionByName(single).distinct()
+    spans = materialize(found.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
     release(done, more, windows)
     return spans
 
@@ -229,7 +231,9 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     A byte goes if a 200-byte string over it starts anywhere else in the input,
     in the same text too; strings are judged on the input. Nothing crosses
     texts. A null text is empty. Repeated rows are copies of each other (all of
-    200 bytes and more goes); null ids are allowed, an empty table gives no rows."""
+    200 bytes and more goes); null ids are allowed, an empty table gives no rows. Texts
+    of any length are taken whole, each by one task. ``id_col`` holds whole numbers;
+    other columns are not read."""
     # a text is known by its id and hash; rows that agree in both are copies
     keys = [F.coalesce(F.col(id_col).cast("bigint"), F.lit(-1)).alias("k1"),
             F.coalesce(F.xxhash64(F.col(text)), F.lit(0)).alias("k2")]

@@ -151,7 +151,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     A text without words (null, empty, spaces) has an empty set, is linked with
     nothing and kept. Rows with a null id are not linked either: component null,
     kept. Rows that share an id are one node: linked by any of their texts.
-    An empty table gives no rows."""
+    An empty table gives no rows. Texts of any length are taken whole; ``id_col`` holds
+    whole numbers; other columns are not read."""
     src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
     head = ", ".join(f"{c} {t}" for c, t in _HEAD.items())
     signed = materialize(ship(src).mapInArrow(_signatures(k), f"id bigint, {head}, pairs array<bigint>"), "signatures")
@@ -159,7 +160,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
     # classes of equal sets; the smallest id stands for the class
     digest = ["n_shingles", "digest_a", "digest_b"]
-    classes = filled.groupBy(*digest).agg(F.min("id").alias("low"))
+    classes = materialize(filled.groupBy(*digest).agg(F.min("id").alias("low")), "classes")  # so that a large class can be split
     member = filled.join(classes, digest).select("id", "low")
     several = member.groupBy("id").agg(F.min("low").alias("b"), F.max("low").alias("c")).filter("b < c")
     same_id = member.join(several, "id").select(F.col("low").alias("a"), "b")  # an id with several texts
@@ -221,5 +222,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     out = materialize(signed.select("id", "n_shingles").join(place, "id", "left").select(
         "id", "n_shingles", component.alias("component_id"),
         F.coalesce(component == F.col("id"), F.lit(True)).alias("kept")), "groups")
-    release(signed, reps, postings, first, sets, links, parts, mixed, rare)
+    release(signed, classes, reps, postings, first, sets, links, parts, mixed, rare)
     return out

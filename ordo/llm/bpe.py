@@ -11,7 +11,10 @@ remembered per Python worker, like the encodings of words; both memories are
 emptied when they reach a stated size, which changes no result.
 
 The vocabulary file is that of the tokenizers library (its path is a
-parameter); text is normalised and split into words as the file says.
+parameter); text is normalised and split into words as the file says. Which
+characters are letters or numbers, and what their small forms are, differs between versions of
+Unicode: texts of scripts that no version has changed are split here, others by
+the normaliser and word splitter that the library makes from the file. Encoding is the same.
 """
 
 from __future__ import annotations
@@ -26,13 +29,20 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from ordo.llm.tables import ship
 
-WORDS_REMEMBERED = 250_000   # encodings of words kept by one Python worker
+WORDS_REMEMBERED = 250_000   # encodings of words kept by one Python worker,
+WORD_CHARS = 64              # of words of at most this many characters
 PAIRS_REMEMBERED = 500_000
 OUTPUT_ROWS = 512            # rows in one output batch: bounds memory with long texts
 
+# Characters whose kind, small form and composition are the same in all versions: Latin and IPA without
+# marks, Greek but for sigmas at the end, Cyrillic, general punctuation, kana, unified ideographs, Hangul syllables.
+_SETTLED = regex.compile(
+    r"[\t\n\r\x20-\x7e\u00a0-\u02af\u0391-\u03a1\u03a3-\u03c1\u03c3-\u03c9\u0400-\u0482\u048a-\u04ff\u2010-\u2027\u2030-\u205e"
+    r"\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]*")
 _END = 0x10000               # offset of the symbols that end a word, out of the file's own alphabet
 
 
@@ -62,6 +72,8 @@ class BytePairEncoding:
         if steps != ["NFC", "Replace", "Lowercase"] or split["behavior"] != "Removed" or spec["decoder"]:
             raise ValueError(f"not a vocabulary of the supported kind: {path}")
         self.symbols = _byte_symbols()
+        self.library = Tokenizer.from_file(path)
+        self.byte_of = {s: b for b, s in enumerate(self.symbols)}
 
         vocab = model["vocab"]
         self.rank: dict[tuple[int, int], int] = {}
@@ -144,6 +156,9 @@ class BytePairEncoding:
 
     def split(self, text: str) -> list[str]:
         """Words of a text without special tokens, normalised."""
+        if not _SETTLED.fullmatch(text):
+            pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+            return [bytes(map(self.byte_of.__getitem__, p)).decode() for p, _ in pieces]
         text = unicodedata.normalize("NFC", text)
         # one character at a time: a capital sigma has no special form at the end of a word
         return self.words.findall(text.replace("Σ", "σ").lower())
@@ -151,9 +166,11 @@ class BytePairEncoding:
     def _word_ids(self, word: str) -> tuple[int, ...]:
         ids = self.known.get(word)
         if ids is None:
-            if len(self.known) >= WORDS_REMEMBERED:
-                self.known.clear()
-            ids = self.known[word] = self.encode_word(word)
+            ids = self.encode_word(word)
+            if len(word) <= WORD_CHARS:
+                if len(self.known) >= WORDS_REMEMBERED:
+                    self.known.clear()
+                self.known[word] = ids
         return ids
 
     def encode(self, text: str | None) -> list[int]:
@@ -203,7 +220,7 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text: str =
     """``id`` and the chosen OUTPUTS of every whole text, one row per input row.
 
     A null text counts as empty and has no ids; null and repeated ids and an
-    empty table need no care. ``path`` must name the file on every executor."""
+    empty table need no care. Texts of any length are encoded whole; other columns are not read. ``path`` must name the file on every executor."""
     src = docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("text"))
     kind = src.schema["id"].dataType.simpleString()
 

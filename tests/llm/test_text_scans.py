@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -199,3 +200,42 @@ def test_substrings_messy_and_empty(messy, make_docs):
     want = [(n, kept) for (n, kept, _), t in zip(plain_cut(small), small) if t is not None]
     assert len(got) == len(rows) and not [w for w in want if w not in got]
     assert dedup_substrings(make_docs([])).count() == 0
+
+
+def test_bpe_on_every_code_point():
+    """Letters and numbers of every script, also those that newer versions of Unicode added."""
+    coder, library = bpe.load(public_tokenizers.path(VOCABULARY)), Tokenizer.from_file(public_tokenizers.path(VOCABULARY))
+    library.no_truncation()
+    points = [c for c in range(0x20, 0x323B0) if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"x{chr(c)}y1" for c in points[i:i + 200]) for i in range(0, len(points), 200)]
+    r = random.Random(8)
+    for pool in (points, range(0x20, 0x300), range(0x300, 0x600), (0x41, 0x3A3, 0x3C2, 0x301, 0x130, 0x20, 0x27, 0x73, 0x12550, 0x1C89)):
+        texts += ["".join(chr(r.choice(pool)) for _ in range(8)) for _ in range(5000)]
+    for text in texts:
+        assert coder.encode(text) == library.encode(text, add_special_tokens=False).ids, [hex(ord(c)) for c in text[:9]]
+
+
+def test_long_words_are_not_remembered():
+    coder = bpe.BytePairEncoding(public_tokenizers.path(VOCABULARY))
+    coder.encode("short " + "ab" * 50_000 + " words")
+    assert sorted(coder.known) == ["short", "words"]
+
+
+def test_secrets_in_linear_time():
+    """A megabyte of token beginnings, with and without a token at its end."""
+    start = time.perf_counter()
+    assert secret_scan.find_secrets("eyJ" * 350_000) == []
+    assert secret_scan.find_secrets("eyJ" * 350_000 + ".eyJ" * 100_000) == []
+    token = "eyJ" + "a" * 12 + ".eyJ" + "b" * 12 + "." + "c" * 24
+    text = ("eyJ" * 10 + " ") * 30_000 + token + " " + "eyJeyJ" * 5 + "." + token
+    found = [s for s in secret_scan.find_secrets(text) if s[0] == "jwt"]
+    assert found == [("jwt", m.start(), m.end()) for m in secret_scan.JWT.finditer(text)] and len(found) == 2
+    assert time.perf_counter() - start < 5
+
+
+def test_substrings_of_many_copies_without_id(spark):
+    """20,000 rows that agree in everything: their spans count once."""
+    text = prose(3, 400)
+    df = spark.range(20_000).selectExpr("cast(null as bigint) doc_id", f"'{text}' text")
+    got = dedup_substrings(df).selectExpr("size(removed) s", "length(kept) k").distinct().collect()
+    assert [(r["s"], r["k"]) for r in got] == [(1, 0)]

@@ -24,21 +24,26 @@ from ordo.llm.line_dedup import dedup_lines
 from ordo.llm.minhash_dedup import near_duplicates
 from ordo.llm.mixing import mix_sources
 from ordo.llm.quality_mil import ACCEPT, fit_quality, quality_score
-from ordo.llm.tables import materialize, table
+from ordo.llm.tables import materialize, release, table
 
 VOCABULARY = "word_bpe_49k.json"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the classifier accepts, as they are. Null and empty texts get the
+    score of a text without words; repeated rows are judged alike; an empty table
+    gives no rows; column names cannot clash."""
     model = fit_quality(docs, table(spark, sf_dir, "labels"))
-    row = F.struct(*docs.columns).alias("row")  # clashing names cannot arise
+    row = F.struct("*").alias("row")  # clashing names cannot arise
     scored = docs.select(row, quality_score(model).alias("score"))
     return scored.filter(F.col("score") >= ACCEPT).select("row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The text without boilerplate lines; ``n_chars`` follows where a text changed."""
-    cleaned = dedup_lines(docs)
+    """The text without boilerplate lines; ``n_chars`` follows where a text changed. A
+    copied page stays whole for the next stage, which keeps one of its copies. Null
+    texts stay null; other columns keep their names and values."""
+    cleaned = dedup_lines(docs, keep_copies=True)
     changed = F.col("n_removed") > 0
     new = {"text": F.when(changed, F.col("clean_text")).otherwise(F.col("row.text")),
            "n_chars": F.when(changed, F.length("clean_text").cast("long")).otherwise(F.col("row.n_chars"))}
@@ -49,7 +54,7 @@ def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Five-word shingles, similarity 0.8. Every row is a node of its own, also
     where ids are null or repeat; of a group the row with the smallest id stays
     (null ids last), of rows with that id the first as written here."""
-    rows = materialize(docs.select(F.struct(*docs.columns).alias("row"),  # written: the numbers must not change
+    rows = materialize(docs.select(F.struct("*").alias("row"),  # written: the numbers must not change
                                    F.monotonically_increasing_id().alias("id")), "numbered")
     found = near_duplicates(rows.select("id", F.col("row.text").alias("text")), k=5, id_col="id")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "id")
@@ -59,6 +64,8 @@ def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows as often as the mix uses them, as they are; rows without words follow
+    their place in the mix. An empty table gives no rows."""
     return mix_sources(docs)
 
 
@@ -77,7 +84,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        release(*before)  # a stage's input goes when its output is written
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)

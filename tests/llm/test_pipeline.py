@@ -99,5 +99,5 @@ def test_queries_are_registered(spark):
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {q[:q.index("_") + 1] for q in names if q.startswith("op") and q[2].isdigit()}
+    assert {f"op{n}_" for n in range(1, 14)} == {q[:q.index("_") + 1] for q in names if q.startswith("op") and q[2].isdigit()}
     assert "pipeline" in names and {"op2_line_dedup", "op9_source_mix"} <= set(entry.oracle_sql())

@@ -29,7 +29,7 @@ from ordo.functions.lines import line_of, well_formed
 from ordo.operators.parse import parse_lines, reject_summary
 from ordo.operators.position import position_in_files, with_position
 from ordo.operators.profile import count_conservation, run_profile, run_sizes
-from ordo.operators.sort import first_lines, merge_runs, sort_lines, sort_within, top_lines
+from ordo.operators.sort import first_lines, sort_lines, sort_within, top_lines
 from ordo.operators.validate import (
     bag_equal, check_sorted, format_check, order_equal, size_in_window, sorted_summary,
 )
@@ -99,6 +99,13 @@ def _positioned(sorted_lines: DataFrame) -> DataFrame:
     return with_position(sorted_lines).select("pos", "line")
 
 
+def _merged(spark: SparkSession, runs) -> DataFrame:
+    """The merge of run files (cut at their quantiles), read back with positions."""
+    out = scratch_path(spark, "merged")
+    merge_files(spark, runs, out)
+    return position_in_files(read_in_file_order(spark, out)).select("pos", F.col("value").alias("line"))
+
+
 # ---------------------------------------------------------------- queries
 
 def q_sort_part_lines(spark, sf_dir):
@@ -169,8 +176,7 @@ def q_merge_runs(spark, sf_dir):
     runs_dir = scratch_path(spark, "runs3")
     for name, lines in (("part", part_lines), ("supplier", supplier_lines), ("customer", customer_lines)):
         write_lines(sort_within(lines(spark, sf_dir)), f"{runs_dir}/{name}")  # part-00000... in each of them
-    runs = read_runs(spark, [f"{runs_dir}/{n}" for n in ("part", "supplier", "customer")])
-    return _positioned(merge_runs(runs, "value"))
+    return _merged(spark, [f"{runs_dir}/{n}" for n in ("part", "supplier", "customer")])
 
 
 def q_merge_many_runs(spark, sf_dir):
@@ -179,7 +185,7 @@ def q_merge_many_runs(spark, sf_dir):
     li = _table(spark, sf_dir, "lineitem").repartition(40, "l_suppkey")
     lines = li.select(line_of(F.col("l_orderkey"), F.concat("l_returnflag", "l_linestatus")).alias("line"))
     write_lines(sort_within(lines), runs_dir)
-    return _positioned(merge_runs(read_runs(spark, runs_dir), "value"))
+    return _merged(spark, runs_dir)
 
 
 def q_run_profile(spark, sf_dir):
@@ -272,9 +278,7 @@ def q_stream_merge(spark, sf_dir):
     query = stream_sorted_runs(spark, inbox, runs, checkpoint=scratch_path(spark, "stream-ckpt"),
                                max_files_per_trigger=2)
     query.awaitTermination()
-    out = scratch_path(spark, "stream-merged")
-    merge_files(spark, runs, out)
-    return position_in_files(read_in_file_order(spark, out)).select("pos", F.col("value").alias("line"))
+    return _merged(spark, runs)
 
 
 def q_generate_lines(spark, sf_dir):

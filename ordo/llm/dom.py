@@ -12,6 +12,7 @@ from __future__ import annotations
 import html
 import math
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -54,7 +55,8 @@ GROUPS = {g: i for i, names in enumerate((
     "article main", "div section", "p", "h1 h2 h3 h4 h5 h6", "li dt dd", "ul ol dl menu dir", "nav", "aside", "header hgroup",
     "footer", "form fieldset legend input", "blockquote pre figure figcaption table tr td th tbody thead", "#text"))
     for g in names.split()}
-FEATURES = len(set(GROUPS.values())) + 26
+TOKENS = 64  # buckets that attribute tokens are hashed into
+FEATURES = len(set(GROUPS.values())) + 26 + 2 * TOKENS
 _OPEN = re.compile(r"<[a-zA-Z/!?]")  # a tag that the page ends in
 _SENTENCE = re.compile(r"[.!?,;](?=\s|$)")
 
@@ -185,24 +187,41 @@ class Page:
         return [i for i in range(len(self.tag)) if self.parent[i] != -2]
 
 
+def attribute_tokens(attr: str) -> list[str]:
+    """Lower-case words of class, id, role and the like."""
+    return [token.lower() for name, *values in _ATTR.findall(attr)
+            if name.lower() in ("class", "id", "role", "itemprop", "aria-label", "data-role", "data-component")
+            for token in _PART.findall("".join(values))]
+
+
 def attribute_votes(attr: str) -> tuple[int, int]:
     """How many tokens of class, id, role and the like speak for and against."""
     good = bad = 0
-    for name, *values in _ATTR.findall(attr):
-        if name.lower() in ("class", "id", "role", "itemprop", "aria-label", "data-role", "data-component"):
-            for token in _PART.findall("".join(values)):
-                token = token.lower()
-                if token in AGAINST_WHOLE or token.startswith(AGAINST):
-                    bad += 1
-                elif token.startswith(FOR):
-                    good += 1
+    for token in attribute_tokens(attr):
+        if token in AGAINST_WHOLE or token.startswith(AGAINST):
+            bad += 1
+        elif token.startswith(FOR):
+            good += 1
     return good, bad
 
 
+def token_buckets(attr: str) -> int:
+    """The buckets of the attribute's tokens, one bit each."""
+    bits = 0
+    for token in attribute_tokens(attr):
+        bits |= 1 << zlib.crc32(token.encode()) % TOKENS
+    return bits
+
+
+def _columns(bits: list[int]) -> np.ndarray:
+    return np.unpackbits(np.array(bits, "<u8").view(np.uint8).reshape(-1, TOKENS // 8), axis=1, bitorder="little")
+
+
 def features(page: Page) -> tuple[list[int], np.ndarray]:
     """(nodes in document order, their features): kind, attribute tokens of the
-    node and its ancestors, depth, place among siblings, density of text,
-    links and tags in the subtree, and the same of parent and siblings."""
+    node and its ancestors (votes of known stems, and every token by its bucket),
+    depth, place among siblings, density of text, links and tags in the subtree,
+    and the same of parent and siblings."""
     order = page.nodes()
     n = len(page.tag)
     chars, links, below, ends, leaves, longest, before = ([0] * n for _ in range(7))
@@ -225,7 +244,7 @@ def features(page: Page) -> tuple[list[int], np.ndarray]:
             longest[p] = max(longest[p], longest[i])
     log = [math.log1p(c) for c in chars]
     rate = [links[i] / chars[i] if chars[i] else 0.0 for i in range(n)]
-    depth, good, bad, up_good, up_bad, up_kind = [0] * n, [0] * n, [0] * n, [0] * n, [0] * n, [0] * n
+    depth, good, bad, up_good, up_bad, up_kind, bits, up_bits = ([0] * n for _ in range(8))
     group = [GROUPS.get(t, len(set(GROUPS.values())) - 1) for t in page.tag]
     kinds = len(set(GROUPS.values()))
     place = {c: k for kids in page.kids for k, c in enumerate(kids)}
@@ -235,22 +254,26 @@ def features(page: Page) -> tuple[list[int], np.ndarray]:
         p = page.parent[i]
         if page.attr[i]:
             good[i], bad[i] = attribute_votes(page.attr[i])
+            bits[i] = token_buckets(page.attr[i])
         sib = page.kids[p] if p >= 0 else [i]
         if p >= 0:
             depth[i] = depth[p] + 1
             up_good[i] = up_good[p] + good[p]
             up_bad[i] = up_bad[p] + bad[p]
+            up_bits[i] = up_bits[p] | bits[p]
             up_kind[i] = up_kind[p] | (1 if group[p] == 0 else 2 if 6 <= group[p] <= 10 else 0)
         k = place.get(i, 0)
         prev, following = (sib[k - 1] if k > 0 else -1), (sib[k + 1] if k < len(sib) - 1 else -1)
         x[row, group[i]] = 1
-        x[row, kinds:] = (
+        x[row, kinds:kinds + 26] = (
             good[i], bad[i], up_good[i], up_bad[i], up_kind[i] & 1, up_kind[i] >> 1, depth[i], len(page.kids[i]), len(sib),
             k, k / len(sib), log[i], chars[i] / total, rate[i], below[i] / (chars[i] + 1) * 100,
             ends[i] / (chars[i] + 1) * 100, chars[i] / max(leaves[i], 1), math.log1p(longest[i]),
             log[p] if p >= 0 else 0, rate[p] if p >= 0 else 0, chars[i] / max(chars[p], 1) if p >= 0 else 1,
             (log[prev] if prev >= 0 else 0), (rate[prev] if prev >= 0 else 0), (log[following] if following >= 0 else 0),
             (rate[following] if following >= 0 else 0), before[i] / total)
+    x[:, kinds + 26:kinds + 26 + TOKENS] = _columns([bits[i] for i in order])
+    x[:, kinds + 26 + TOKENS:] = _columns([up_bits[i] for i in order])
     return order, x
 
 

@@ -48,7 +48,8 @@ class BoostedTrees:
     def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> BoostedTrees:
         cuts = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1], method="lower")) for c in x.T]
         self.feature, self.cut, self.leaf = [], [], []
-        binned = np.stack([np.searchsorted(c, v, side="left") for c, v in zip(cuts, x.T)], axis=1)
+        binned = [np.searchsorted(c, v, side="left").astype(np.uint8) for c, v in zip(cuts, x.T)]
+        upper = [np.flatnonzero(b) if len(c) == 1 else None for b, c in zip(binned, cuts)]  # of a column with two values
         share = np.clip((weight @ y) / weight.sum(), 1e-3, 1 - 1e-3)
         self.base = float(np.log(share / (1 - share)))
         f = np.full(len(x), self.base)
@@ -61,13 +62,17 @@ class BoostedTrees:
                 first, n = 2 ** level - 1, 2 ** level
                 best, pick = np.full(n, 1e-6), np.full(n, -1)
                 at = np.zeros(n, np.int64)
-                for j in range(x.shape[1]):
-                    if not len(cuts[j]):
+                gt, ht = np.bincount(node, g, n)[:, None], np.bincount(node, h, n)[:, None]
+                for j, rows in enumerate(upper):
+                    if rows is None:
+                        key = node * BINS + binned[j]
+                        gl = np.bincount(key, g, n * BINS).reshape(n, BINS).cumsum(axis=1)[:, :-1]
+                        hl = np.bincount(key, h, n * BINS).reshape(n, BINS).cumsum(axis=1)[:, :-1]
+                    elif len(rows):
+                        gl = gt - np.bincount(node[rows], g[rows], n)[:, None]
+                        hl = ht - np.bincount(node[rows], h[rows], n)[:, None]
+                    else:
                         continue
-                    key = node * BINS + binned[:, j]
-                    G = np.bincount(key, g, n * BINS).reshape(n, BINS).cumsum(axis=1)
-                    H = np.bincount(key, h, n * BINS).reshape(n, BINS).cumsum(axis=1)
-                    gl, hl, gt, ht = G[:, :-1], H[:, :-1], G[:, -1:], H[:, -1:]
                     gain = gl ** 2 / (hl + 1) + (gt - gl) ** 2 / (ht - hl + 1) - gt ** 2 / (ht + 1)
                     gain[(hl < 1) | (ht - hl < 1)] = 0
                     b = gain.argmax(axis=1)

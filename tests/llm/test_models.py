@@ -209,6 +209,24 @@ def test_other_layouts():
     assert not any(w in got[0] for w in ("cookies", "Buy", "liked", "Home", "Popular", "rights", "Name"))
 
 
+def test_unlisted_attribute_tokens_are_learnt():
+    """A token that no stem list names decides where all else is equal, on the block and below it."""
+    def made(seeds):
+        xs, ys = [], []
+        for n in seeds:
+            name = ("zork", "plim")[n % 2]
+            page = Page(f"<div class='box {name}-{n}'><p>{prose(n // 2, 30)}</p></div>")
+            order, x = dom.features(page)
+            xs.append(x[1:])
+            ys += [name == "plim"] * (len(order) - 1)
+        return np.concatenate(xs), np.array(ys, float)
+    assert dom.attribute_votes("class='box zork-1'") == dom.attribute_votes("class='box plim-1'") == (0, 0)
+    x, y = made(range(80))
+    trees = html_extract.BoostedTrees().fit(x, y, np.ones(len(y)))
+    x, y = made(range(80, 120))
+    assert (abs(trees.score(x) - y) < 0.2).all()
+
+
 def test_pages_messy_and_empty(spark):
     schema = "page_id bigint, url string, html string, row string, s string, main_text string"
     long = "<article>" + "".join(f"<p>{prose(k, 60)}</p>" for k in range(400)) + "</article>"

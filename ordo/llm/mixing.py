@@ -10,11 +10,15 @@ rate of its target.
 Both running sums (within a source, and over the merge) are two-level prefix
 sums: totals per bin, offsets over the bins, sums within a bin. Bins of the
 queue come from the leading hex digits of the hash, bins of the merge from the
-finish time, so no task holds a whole source, however large.
+finish time; their number follows the number of documents, so a bin holds some
+65,536 of them and no task holds a whole source, however large.
 """
 
 from __future__ import annotations
 
+import math
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +29,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)      # weights of the sources in their order, repeating
 BUDGET_RATIO = 1.5       # words in the mix per word in the corpus
 MAX_REPEAT = 2           # a document is used at most this often
-QUEUE_BIN_DIGITS = 3     # 16^3 bins for the running sum of one source
-MERGE_BINS = 4096        # bins of virtual time up to the end of the mix
+BIN_ROWS = 65_536        # rows that a bin of either running sum holds, roughly
+LEAST_BIN_DIGITS = 3     # 16^3 bins at least
 
 
 def word_count(text: str):
@@ -38,6 +42,12 @@ def _shuffle_key(id_col: str, text: str):
     return F.md5(F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit(":"), F.col(text)), F.lit("")))
 
 
+def bin_digits(rows: int) -> int:
+    """Hex digits of the hash that name a bin of a queue, so that 16 to this
+    power bins hold about BIN_ROWS of ``rows`` each (within a factor of 4)."""
+    return max(LEAST_BIN_DIGITS, round(math.log(max(rows, 1) / BIN_ROWS, 16)))
+
+
 def source_targets(sizes: DataFrame, weights=WEIGHTS, budget_ratio: float = BUDGET_RATIO,
                    max_repeat: int = MAX_REPEAT) -> DataFrame:
     """``source, source_size, target`` from rows ``source, size``.
@@ -75,7 +85,8 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source
     sized = materialize(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source).alias("source"),
         _shuffle_key(id_col, text).alias("key"), word_count(text).alias("size")), "mix-sizes")
-    sized = sized.withColumn("bin", F.substring("key", 1, QUEUE_BIN_DIGITS))
+    digits = bin_digits(sized.count())
+    sized = sized.withColumn("bin", F.substring("key", 1, digits))
     targets = source_targets(sized, weights, budget_ratio, max_repeat)
 
     # running sum of each source, in the order of the hash
@@ -97,7 +108,7 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source
     uses = queue.withColumn("pass", F.explode(F.array(*[F.lit(i) for i in range(max_repeat)])))
     end = F.col("pass") * F.col("source_size") + F.col("offset") + F.col("in_bin")
     uses = uses.withColumn("finish", F.when(F.col("target") > 0, end / F.col("target")).otherwise(F.lit(0.0)))
-    uses = materialize(uses.withColumn("slot", F.floor(F.col("finish") * MERGE_BINS)), "mix-uses")
+    uses = materialize(uses.withColumn("slot", F.floor(F.col("finish") * 16 ** digits)), "mix-uses")
     slots = Window.partitionBy(F.lit(0)).orderBy("slot")  # the running sum over bins, not rows
     totals = uses.groupBy("slot").agg(F.sum("size").alias("slot_size")).select(
         F.col("slot").alias("o_slot"), (F.sum("slot_size").over(slots) - F.col("slot_size")).alias("merged"))
@@ -115,7 +126,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sou
     """The mix itself: the rows of ``docs``, each as often as the plan uses it,
     in no order (``plan_mix`` has the numbers).
 
-    Rows that agree in id, source, size and key share their uses evenly. Nulls,
+    Rows that agree in id, source, size and key share their uses evenly, the odd one
+    by a hash of all columns (but maps and variants, which have none), so that
+    reruns agree. Nulls,
     empty and very long texts (counted whole) and empty tables are as in ``plan_mix``;
     clashing column names cannot arise."""
     plan = plan_mix(docs, id_col, text, source, **parameters)
@@ -127,6 +140,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sou
                         F.col(source).alias("source"), _shuffle_key(id_col, text).alias("key"),
                         word_count(text).alias("size"))
     rows = keyed.join(uses, [F.col(c).eqNullSafe(F.col(f"u_{c}")) for c in same])
-    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(0))))
+    hashed = [F.col("row").getField(f.name) for f in docs.schema if not re.search(r"\b(map<|variant)", f.dataType.simpleString())]
+    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy(*same).orderBy(F.xxhash64(*hashed))))
     share = F.floor((F.col("uses") + F.col("rows") - F.col("n")) / F.col("rows")).cast("int")
     return rows.select("row", F.explode(F.array_repeat(F.lit(1), share))).select("row.*")

@@ -7,6 +7,7 @@ import pytest
 from plain import WORD, prose
 from pyspark.sql import functions as F
 
+from ordo.llm import mixing
 from ordo.llm.line_dedup import dedup_lines, spread_lines
 from ordo.llm.mixing import mix_sources, plan_mix, source_targets
 
@@ -158,3 +159,23 @@ def test_mix_messy_and_empty(messy, make_docs):
     wordless = make_docs([(1, "", "a"), (2, None, "a"), (None, None, None)])
     assert [r["size"] for r in plan_mix(wordless).collect()] == [0, 0, 0]
     assert docs.select(F.col("key")).first()["key"] == "x"
+
+
+def test_mix_does_not_depend_on_its_bins(spark, make_docs, monkeypatch):
+    docs = make_docs([(i, prose(i, 1 + (i * 13) % 60), "ab"[i % 2]) for i in range(120)])
+    plan = lambda: {r["doc_id"]: r["copies"] for r in plan_mix(docs).collect()}
+    want = plan()
+    for least, rows in ((1, 65_536), (1, 4), (5, 65_536)):
+        monkeypatch.setattr(mixing, "LEAST_BIN_DIGITS", least)
+        monkeypatch.setattr(mixing, "BIN_ROWS", rows)
+        assert plan() == want
+    monkeypatch.undo()
+    assert [mixing.bin_digits(n) for n in (0, 10 ** 6, 10 ** 9, 10 ** 11)] == [3, 3, 3, 5]
+
+
+def test_rows_alike_but_for_other_columns_mix_alike_on_reruns(spark):
+    rows = [(1, f"{c} words here", "a", f"u{c}", {"k": c}) for c in "abcdefg"] + [(2, "more words", "b", "v", None)] * 5
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, `u.rl` string, tags map<string,string>")
+    seen = lambda df: sorted(map(str, mix_sources(df).drop("tags").collect()))
+    want = seen(docs)
+    assert want and all(seen(docs.repartition(n)) == want for n in (1, 3, 5))

@@ -160,10 +160,15 @@ ORACLE_SQL: dict[str, str] = {
            CASE WHEN hits > 0 THEN rest ELSE d.text END AS text
     FROM documents d LEFT JOIN per USING (doc_id)""",
     "op9_source_mix": r"""
-    WITH sized AS (
+    WITH counted AS (
       SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), ':' || text, '')) AS key,
              CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
       FROM documents),
+    numbered AS (
+      SELECT *, row_number() OVER (PARTITION BY doc_id, source, key, size) AS copy FROM counted),
+    sized AS (
+      SELECT doc_id, source, size, CASE WHEN copy = 1 THEN key ELSE md5(key || ':' || copy) END AS key
+      FROM numbered),
     per AS (
       SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
              CAST([5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS weight
@@ -178,7 +183,7 @@ ORACLE_SQL: dict[str, str] = {
       FROM levels),
     uses AS (
       SELECT s.*, t.source_size, t.target, p.pass,
-             (p.pass * t.source_size + sum(s.size) OVER (PARTITION BY s.source, p.pass ORDER BY key, doc_id
+             (p.pass * t.source_size + sum(s.size) OVER (PARTITION BY s.source, p.pass ORDER BY key, doc_id, size
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) / t.target AS finish
       FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source, (VALUES (0), (1)) p(pass)),
     merged AS (
@@ -187,7 +192,7 @@ ORACLE_SQL: dict[str, str] = {
                 <= 1.5::DOUBLE * (SELECT sum(source_size) FROM targets) AS taken
       FROM uses)
     SELECT doc_id, size, source_size, target, CAST(sum(CASE WHEN taken THEN size ELSE 0 END) AS BIGINT) AS taken
-    FROM merged GROUP BY ALL""",
+    FROM merged GROUP BY doc_id, source, key, size, source_size, target""",
     "op12_hard_negatives": """
     WITH parts AS (
       SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,

@@ -1,5 +1,6 @@
 """Line dedup and source mixing."""
 
+from collections import Counter
 import hashlib
 import re
 
@@ -179,3 +180,37 @@ def test_rows_alike_but_for_other_columns_mix_alike_on_reruns(spark):
     seen = lambda df: sorted(map(str, mix_sources(df).drop("tags").collect()))
     want = seen(docs)
     assert want and all(seen(docs.repartition(n)) == want for n in (1, 3, 5))
+
+
+def test_a_large_group_of_equal_rows_is_split(spark, make_docs, monkeypatch):
+    """A third of all rows without id, with one text: their copies lie in many bins,
+    the plan is the same whatever the bins, and the mix keeps the uses of each group."""
+    rows = [(i, prose(i, 5 + i % 40), "ab"[i % 2]) for i in range(200)] + [(None, "the same few words", "a")] * 100 + [(7, "", "z")] * 30
+    docs = make_docs(rows).repartition(3)
+    plan = lambda: Counter((r["doc_id"], r["size"], r["source_size"], r["target"], r["copies"]) for r in plan_mix(docs).collect())
+    want = plan()
+    assert sum(want.values()) == len(rows)
+    keys = [r["key"] for r in plan_mix(docs).filter("doc_id IS NULL").collect()]
+    assert len(set(keys)) == 100
+    monkeypatch.setattr(mixing, "BIN_ROWS", 16)  # groups become blocks, rows alike become pieces
+    monkeypatch.setattr(mixing, "LEAST_BIN_DIGITS", 1)
+    assert plan() == want
+    uses = Counter()
+    for (doc_id, size, _, _, copies), n in want.items():
+        uses[doc_id, size] += copies * n
+    mixed = mix_sources(docs).collect()
+    assert Counter((r["doc_id"], len(WORD.findall(r["text"]))) for r in mixed) == +uses
+    per_row = Counter(r["text"] for r in mixed)["the same few words"]
+    assert 0 < per_row <= 200
+
+
+def test_mix_with_repeated_rows_equals_its_sql(make_docs, tmp_path, spark):
+    import duckdb
+
+    from ordo.llm.queries import ORACLE_SQL, op9_source_mix
+    rows = [(i % 90, prose(i % 7, 5 + i % 30), ("a", "b", None)[i % 3]) for i in range(300)] + [(None, "no id here", "c")] * 40
+    make_docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    duckdb.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    want = Counter(tuple(r) for r in duckdb.sql(ORACLE_SQL["op9_source_mix"]).select(*columns).fetchall())
+    assert Counter(tuple(r) for r in op9_source_mix(spark, str(tmp_path)).select(*columns).collect()) == want

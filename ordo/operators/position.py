@@ -4,8 +4,9 @@ rows to one task (no unpartitioned ``row_number``).
 A sorted result is a sequence of ordered partitions (or ordered file splits).
 Count rows per partition (one small row each), prefix-sum those counts over
 the small table, and add each partition's offset to the row's index within
-the partition. The per-partition table is small (one row per partition); Spark
-broadcasts it if its size allows.
+the partition. The per-partition table is small (one row per partition) and is
+broadcast, so rows stay in the tasks that read them: left to its estimates, which
+for the counts are those of the rows, Spark shuffles and sorts all rows by partition.
 
 The counts and the rows must come from the same execution: a sort may cut
 differently when it runs again. Hence the sorted result is written first, once, as
@@ -26,7 +27,7 @@ PLACE_BITS = 33   # of monotonically_increasing_id: the row within its partition
 
 def _offsets(groups: DataFrame, group_cols: list[str], order_by) -> DataFrame:
     """Rows before each group (``_n`` rows each): a prefix sum over a small table,
-    materialised so its row count is known before choosing the join."""
+    materialised so that the rows are not counted again where it is joined."""
     w = Window.orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
     return groups.select(*group_cols, "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset")).checkpoint(eager=True)
 
@@ -35,7 +36,7 @@ def _attach_offsets(df: DataFrame, group_cols: list[str], row_col: str, order_by
     groups = df.groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("_n"), F.min(row_col).alias("_first")
     )
-    return df.join(_offsets(groups, group_cols, order_by or group_cols), group_cols).withColumn(
+    return df.join(F.broadcast(_offsets(groups, group_cols, order_by or group_cols)), group_cols).withColumn(
         "pos", F.col("_offset") + (F.col(row_col) - F.col("_first")) + F.lit(1)
     ).drop("_offset", "_first")
 

@@ -19,6 +19,7 @@ Line builders (the same rule on both sides):
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -40,6 +41,11 @@ from ordo.sources.generator import NUMBER_BOUND, PHRASES, generate_lines, rows_f
 from ordo.sources.text import head_of_output, read_in_file_order, read_lines, read_runs, run_files, write_lines
 
 
+# The many-run merge: runs at least, and rows of one run (about 230 MB to sort; lines of 14 bytes).
+RUNS = 40
+RUN_ROWS = 1 << 21
+
+
 # ---------------------------------------------------------------- lines (Spark)
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -180,9 +186,11 @@ def q_merge_runs(spark, sf_dir):
 
 
 def q_merge_many_runs(spark, sf_dir):
-    """40 sorted runs (more than one merge pass of fan-in 15 would take)."""
+    """40 sorted runs (more than one merge pass of fan-in 15 would take); more
+    where a run would have over RUN_ROWS rows."""
     runs_dir = scratch_path(spark, "runs40")
-    li = _table(spark, sf_dir, "lineitem").repartition(40, "l_suppkey")
+    li = _table(spark, sf_dir, "lineitem")
+    li = li.repartition(max(RUNS, math.ceil(li.count() / RUN_ROWS)), "l_suppkey", "l_orderkey")
     lines = li.select(line_of(F.col("l_orderkey"), F.concat("l_returnflag", "l_linestatus")).alias("line"))
     write_lines(sort_within(lines), runs_dir)
     return _merged(spark, runs_dir)

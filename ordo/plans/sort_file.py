@@ -32,11 +32,15 @@ from ordo.sources.sampling import sample_lines
 from ordo.sources.text import input_bytes, read_lines, write_lines, write_manifest, write_runs
 
 # Sizes of a sort, all documented parameters without switches:
-# a sorted output partition holds at most TARGET_PARTITION_BYTES of input and at
+# a sorted output partition holds RANGE_BYTES of input (less where that is under one
+# range per core), and more only where a core would get over RANGES_PER_CORE of them.
+# It holds at most TARGET_PARTITION_BYTES of input and at
 # most SPILLS + 1 times what one task's share of execution memory sorts without
 # spilling. Sorting keeps each row as an UnsafeRow plus its keys and a
 # pointer/prefix pair: measured 7x the input bytes for 26-byte lines (peak
 # execution memory 448 MB for a 64 MB partition), so 8x is used.
+RANGE_BYTES = 16 << 20
+RANGES_PER_CORE = 32
 TARGET_PARTITION_BYTES = 1 << 30
 SORT_EXPANSION = 8
 SPILLS = 1
@@ -79,10 +83,12 @@ class SortSizes:
 def sort_sizes(size: int, memory: int, cores: int, split_bytes: int,
                target_bytes: int = TARGET_PARTITION_BYTES, partitions: int | None = None) -> SortSizes:
     """Sizes for sorting ``size`` bytes with ``memory`` bytes of execution memory
-    per task: ranges of at most ``target_bytes`` that spill at most SPILLS times
+    per task: ranges of RANGE_BYTES, larger where there would be over RANGES_PER_CORE of
+    them, but of at most ``target_bytes`` and such that they spill at most SPILLS times
     (one per core at least), and input splits of ``split_bytes`` or as large as
     blocks of MIN_BLOCK_BYTES ask."""
-    per_range = max(1, min(target_bytes, (SPILLS + 1) * memory // SORT_EXPANSION))
+    wanted = max(RANGE_BYTES, math.ceil(size / (cores * RANGES_PER_CORE)))
+    per_range = max(1, min(target_bytes, wanted, (SPILLS + 1) * memory // SORT_EXPANSION))
     n = partitions or max(cores, math.ceil(size / per_range))
     return SortSizes(n, max(split_bytes, min(n * MIN_BLOCK_BYTES, size // cores)))
 

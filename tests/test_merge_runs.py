@@ -8,8 +8,9 @@ from oracle import oracle_key
 from ordo.functions.cuts import _cut
 from ordo.operators.profile import run_sizes
 from ordo.operators.sort import merge_runs, sorted_runs
+from ordo.plans import catalog
 from ordo.plans.sort_file import merge_files, split_and_sort
-from ordo.sources.text import read_manifest, read_runs, run_files
+from ordo.sources.text import read_manifest, read_runs, run_files, write_lines
 
 
 def run_files_of(runs_dir):
@@ -148,3 +149,16 @@ def test_lost_and_emptied_runs_are_found(spark, tmp_path):
     assert run_sizes(read_manifest(spark, runs_dir), run_files(spark, runs_dir)).first()["empty_runs"] == 2
     (tmp_path / "runs" / "run=0" / "part-00099-x.txt").write_text("1. a\n")  # a file that no task recorded
     assert run_sizes(read_manifest(spark, runs_dir), run_files(spark, runs_dir)).first()["empty_runs"] == 3
+
+
+def test_many_runs_grow_in_number(spark, tmp_path, monkeypatch):
+    """A run holds a bounded number of rows, also where all rows are of one supplier."""
+    spark.range(5000).selectExpr("id AS l_orderkey", "1L AS l_suppkey", "'N' AS l_returnflag", "'O' AS l_linestatus").write.parquet(
+        str(tmp_path / "lineitem.parquet"))
+    written = []
+    monkeypatch.setattr(catalog, "RUN_ROWS", 100, raising=False)
+    monkeypatch.setattr(catalog, "write_lines", lambda df, path: (written.append(path), write_lines(df, path)))
+    got = catalog.q_merge_many_runs(spark, str(tmp_path)).collect()
+    assert sorted(got) == [(i + 1, f"{i}. NO") for i in range(5000)]
+    sizes = [len(open(f).read().splitlines()) for f in run_files_of(written[0])]
+    assert len(sizes) >= 40 and max(sizes) <= 200

@@ -48,6 +48,16 @@ def test_sizes_are_smooth():
     assert sort_sizes(GB, 2 * GB, 8, 128 << 20, partitions=1000).partitions == 1000
 
 
+def test_ranges_stay_small_as_the_input_grows():
+    """12 cores, 1.4 GB for each: a range of 1 GB of lines is no larger than one of 6 GB."""
+    for mb in (52, 520, 3120, 10_000):
+        s = sort_sizes(mb << 20, int(1.4 * GB), 12, 128 << 20)
+        assert (mb << 20) / s.partitions <= 32 << 20
+    for mb in (20_000, 1_000_000):  # then larger ones, not any number of them
+        s = sort_sizes(mb << 20, int(1.4 * GB), 12, 128 << 20)
+        assert s.partitions <= max(12 * 32, -(-(mb << 20) * SORT_EXPANSION // ((SPILLS + 1) * int(1.4 * GB))) + 1)
+
+
 def test_jobs_leave_the_session_as_it_is(spark, text_file, tmp_path):
     before = dict(spark.conf.getAll)
     p = text_file(["2. b", "1. a"] * 50)

@@ -121,3 +121,18 @@ def test_run_profile(lines_df):
     assert (got[0]["n"], got[0]["min_line"], got[0]["max_line"], got[0]["has_word"]) == (3, "1. Apple", "1. Banana", True)
     assert got[0]["est_bytes"] == sum(2 * len(x) + 20 for x in ["2. Apple", "1. Banana", "1. Apple"])
     assert got[1]["has_word"] is False
+
+
+def test_positions_move_no_rows(spark, tmp_path, lines_df):
+    """Whatever Spark estimates: the table of offsets is broadcast, rows are neither shuffled nor sorted for it."""
+    for k in range(3):
+        write_run(str(tmp_path / "s"), f"part-0000{k}.txt", [f"{i}. {'abc'[k]}" for i in range(50)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for placed in (position_in_files(read_in_file_order(spark, str(tmp_path / "s"))),
+                       with_position(sort_lines(lines_df([f"{i}. a" for i in range(50)]), "value", partitions=3))):
+            assert sorted(r["pos"] for r in placed.collect()) == list(range(1, placed.count() + 1))
+            plan = placed._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -94,11 +94,15 @@ def range_of(line: str, splitters: Splitters) -> tuple[Column, Column, Column]:
     return _key(line, order), at, F.when(equal, dealt).otherwise(F.col("_at"))
 
 
-def to_ranges(lines: DataFrame, splitters: Splitters) -> DataFrame:
+def to_ranges(lines: DataFrame, splitters: Splitters, validate: bool = False) -> DataFrame:
     """``line`` in ``splitters.ranges`` partitions, in order of their keys. A null
-    line stands for one that is out already and goes anywhere."""
+    line stands for one that is out already and goes anywhere. With ``validate`` a line
+    whose key has no number is out, too, and becomes null: the sample knows only valid
+    lines, so its cuts do not part the others (prose that ends at its first dot has an empty text)."""
     key, at, number = range_of("line", splitters)
-    placed = lines.select("line", key.alias("_key")).select("line", "_key", at.alias("_at")).select("line", number.alias("_range"))
+    placed = lines.select("line", key.alias("_key")).select("line", "_key", at.alias("_at"))
+    counts = F.col(f"_key.k{len(KEY_TYPES[splitters.order]) - 2}").isNotNull()   # the number
+    placed = placed.select(F.when(counts, F.col("line")).alias("line") if validate else "line", number.alias("_range"))
     anywhere = F.pmod(F.shiftright(F.monotonically_increasing_id(), DEAL_BITS), F.lit(splitters.ranges)).cast("int")
     placed = placed.select("line", F.when(F.col("line").isNull(), anywhere).otherwise(F.col("_range")).alias("_range"))
     return placed.repartitionById(splitters.ranges, "_range").select("line")

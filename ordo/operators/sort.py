@@ -2,7 +2,7 @@
 
 Plan of a total sort of files (``sort_lines`` with splitters)::
 
-    scan -> line or null -> Project range (binary search in the cuts)
+    scan -> line or null -> Project range (binary search in the cuts), null without a number
          -> Exchange repartitionById -> Project keys (number through the guard)
          -> CollectMetrics -> filter number not null -> Sort (within partition) -> Project line
 
@@ -137,14 +137,15 @@ def sort_lines(
     on 512 MB, measured). It counts ``rows_in`` into ``counted``: above the
     exchange, in the last stage, whose tasks count once however often they or
     map tasks are tried. Lines out already cross as nulls to be counted there; without
-    ``counted`` they stay behind. Pass ``validate=False`` when the input is
+    ``counted`` those without a dot stay behind. With ``splitters``, whose keys hold the
+    number (unguarded), lines without one cross as nulls, too. Pass ``validate=False`` when the input is
     known to be valid (for example the output of ``parse_lines``)."""
     lines = df.select(F.col(line).alias("line"))
     if validate and counted is not None:
         lines = lines.select(F.when(F.instr("line", ".") > 0, F.col("line")).alias("line"))
     elif validate:
         lines = lines.where(F.instr("line", ".") > 0)
-    parts = to_ranges(lines, splitters) if splitters else range_partition(lines, order, partitions, salt)
+    parts = to_ranges(lines, splitters, validate) if splitters else range_partition(lines, order, partitions, salt)
     if not validate:
         return sort_within(parts, order, plan=plan)
     # Keys with the guarded number, then the count, then the filter on that

@@ -13,7 +13,7 @@ from ordo.functions import splitters as sp
 from ordo.operators.position import with_position
 from ordo.operators.profile import run_profile
 from ordo.operators.sort import sort_lines
-from ordo.operators.validate import order_equal
+from ordo.operators.validate import check_sorted, order_equal, sorted_summary
 from ordo.plans.sort_file import generate_file, sort_file
 from ordo.sources import sampling
 from ordo.sources.sampling import sample_lines
@@ -147,3 +147,24 @@ def test_profile_sorts_no_rows(spark):
         assert p["est_bytes"] == sum(len(x.encode("utf-16-le")) + 20 for x in lines)
         assert p["has_word"] == any("Apple" in x for x in lines) and p["avg_bytes"] == p["est_bytes"] / p["n"]
     assert len(got) == 4 and run_profile(df.where("false")).count() == 0
+
+
+def test_rejected_lines_do_not_pile_up(spark, tmp_path):
+    """Half of all lines are prose that ends at its dot: no range gets their texts, all are counted."""
+    good = [f"{i}. text {i % 97}" for i in range(6000)]
+    bad = [f"A sentence numbered {i} that ends here." for i in range(4000)] + [f"{i}x. text {i}" for i in range(1500)] + ["99999999999999999999."] * 500
+    both = good + bad
+    random.Random(5).shuffle(both)
+    (tmp_path / "in.txt").write_text("".join(x + "\n" for x in both))
+    for order in ("ordinal", "utf8"):
+        df = spark.createDataFrame([(x,) for x in both], "line string")
+        cuts = sp.pick_splitters(sp.sample_keys(df.sample(0.2, seed=3), order), 6, order)
+        parts = sp.to_ranges(df, cuts, validate=True).rdd.glom().map(lambda rows: (len(rows), sum(len(r[0] or "") for r in rows))).collect()
+        assert sum(n for n, _ in parts) == len(both) and sum(b for _, b in parts) == sum(map(len, good))
+        assert max(n for n, _ in parts) < 1.6 * len(both) / 6 and max(b for _, b in parts) < 1.6 * sum(map(len, good)) / 6
+        out = str(tmp_path / order)
+        report = sort_file(spark, str(tmp_path / "in.txt"), out, order, partitions=6).first()
+        assert (report["rows_in"], report["rows_out"], report["rows_rejected"]) == (len(both), len(good), len(bad))
+        assert sorted(r["value"] for r in read_lines(spark, out).collect()) == sorted(good)
+        got = sorted_summary(check_sorted(spark, out, order)).first()
+        assert got["n"] == len(good) and got["total_order"]

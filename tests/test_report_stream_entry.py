@@ -1,5 +1,7 @@
 """A2/S8/S9 report, the streaming run writer, and the driver contract."""
 
+import glob
+import json
 import os
 
 from oracle import oracle_key
@@ -49,3 +51,32 @@ def test_entry_and_registry(spark):
     q, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(q)
     assert len(q) >= 15
+
+
+def test_report_of_mostly_rejected_lines(spark, tmp_path):
+    """Prose lines that end at their only dot: counted in the report, and no task of the sort reads them all."""
+    from ordo.plans.catalog import q_run_report
+
+    folder = spark.sparkContext.getConf().get("spark.eventLog.dir").removeprefix("file:")
+    bus = spark.sparkContext._jsc.sc().listenerBus()
+
+    def shuffled():
+        bus.waitUntilEmpty()
+        stages = {}
+        for path in glob.glob(os.path.join(folder, "**"), recursive=True):
+            if os.path.isfile(path):
+                for line in open(path, errors="replace"):
+                    if '"SparkListenerTaskEnd"' in line:
+                        task = json.loads(line)
+                        read = task["Task Metrics"]["Shuffle Read Metrics"]
+                        stages.setdefault(task["Stage ID"], []).append(read["Local Bytes Read"] + read["Remote Bytes Read"])
+        return stages
+
+    spark.range(4000, numPartitions=4).selectExpr(
+        "id AS doc_id", "concat_ws(' ', sha2(string(id), 512), sha2(string(-id), 512)) || '.' AS text").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    before = set(shuffled())
+    r = q_run_report(spark, str(tmp_path)).first()
+    assert (r["label"], r["rows_in"], r["rows_out"], r["rows_rejected"]) == ("documents", 8000, 4000, 4000)
+    sort = max((v for k, v in shuffled().items() if k not in before), key=sum)
+    assert len(sort) > 1 and max(sort) < 1.8 * sum(sort) / len(sort), sort
